@@ -24,5 +24,5 @@ def calendar_columns(date: Column) -> dict[str, Column]:
 
 
 def month_index(date: Column) -> Column:
-    """Months counted from year 0; consecutive months differ by one."""
-    return F.year(date) * 12 + F.month(date) - 1
+    """year * 12 + month: consecutive months differ by one."""
+    return F.year(date) * 12 + F.month(date)

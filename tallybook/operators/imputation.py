@@ -112,12 +112,16 @@ def overall_statistics(counts: DataFrame, by_item: DataFrame,
     )
 
 
+def flat(overall: DataFrame) -> DataFrame:
+    """The stored one-row table with the medians as columns of their own."""
+    return overall.select("medians.*", "item", "payment_method", "location")
+
+
 def fit(counts: DataFrame, price_median: str = "raw") -> Statistics:
     """Statistics from staged counts; both parts are staged in turn."""
     by_item = stage_table(item_statistics(counts), "item-statistics")
     overall = stage_table(overall_statistics(counts, by_item, price_median), "overall-statistics")
-    overall = overall.select("medians.*", "item", "payment_method", "location")
-    return Statistics(by_item, overall)
+    return Statistics(by_item, flat(overall))
 
 
 def with_item_statistics(df: DataFrame, statistics: Statistics,

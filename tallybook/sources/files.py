@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tallybook import schemas
 
 # Quotes are doubled inside quoted fields, blanks are data.
-_CSV = {
+CSV_OPTIONS = {
     "header": True,
     "quote": '"',
     "escape": '"',
@@ -31,7 +31,7 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     A path that does not exist fails at once (``PATH_NOT_FOUND``), and so does
     a file without one of the eight record columns. Further columns are kept.
     """
-    found = spark.read.options(**_CSV).csv(path)
+    found = spark.read.options(**CSV_OPTIONS).csv(path)
     named = found.toDF(*[snake_case(c) for c in found.columns])
     missing = [c for c in schemas.RAW_COLUMNS if c not in named.columns]
     if missing:
@@ -46,7 +46,7 @@ def read_typed(spark: SparkSession, path: str, schema: T.StructType,
     reader = spark.read.schema(schema)
     if file_format == "csv":
         # A header that disagrees with the schema is an error, not a shift.
-        reader = reader.options(**_CSV).option("enforceSchema", False).option("mode", "FAILFAST")
+        reader = reader.options(**CSV_OPTIONS).option("enforceSchema", False).option("mode", "FAILFAST")
     return reader.format(file_format).load(path)
 
 
@@ -73,7 +73,7 @@ def write_table(df: DataFrame, path: str, file_format: str = "parquet",
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if file_format == "csv":
-        writer = writer.options(**_CSV)
+        writer = writer.options(**CSV_OPTIONS)
     writer.format(file_format).save(path)
 
 
