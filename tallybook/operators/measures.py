@@ -20,6 +20,9 @@ from tallybook.operators.aggregates import totals
 MARGIN_CLASSES = ((0.38, "High Margin (≥38%)"), (0.32, "Mid Margin (32–38%)"))
 LOWEST_CLASS = "Low Margin (<32%)"
 
+# Unrounded sums of quantity x price.
+GROSS = "decimal(28,8)"
+
 
 def in_context(sales: DataFrame, date_from: str | None = None, date_to: str | None = None,
                **values: str | Iterable[str]) -> DataFrame:
@@ -54,8 +57,11 @@ def core_measures(sales: DataFrame, by: tuple[str, ...] = (), rate: str | None =
     Revenue is the unrounded sum of quantity x price. Cost is ``rate`` times
     the total; with ``rate=None`` it is the sum of the cost column instead.
     """
-    revenue = F.coalesce(real("gross"), F.lit(0.0))
-    cost = F.coalesce(real("cost"), F.lit(0.0)) if rate is None else revenue * float(rate)
+    revenue = F.coalesce(F.col("gross"), F.lit(0)).cast(GROSS)
+    if rate is None:
+        cost = F.coalesce(F.col("cost"), F.lit(0))
+    else:
+        cost = revenue * F.lit(rate).cast("decimal(4,2)")
     return (
         totals(sales, *by)
         .select(*by, revenue.alias("total_revenue"), cost.alias("total_cost"),
@@ -85,7 +91,7 @@ def monthly_spine(sales: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     group gets every month of the overall range.
     """
     monthly = totals(sales, *by, month_index(F.col("transaction_date")).alias("month_idx")).select(
-        *by, "month_idx", real("gross").alias("total_revenue"))
+        *by, "month_idx", F.col("gross").cast(GROSS).alias("total_revenue"))
     everything = Window.partitionBy()
     span = monthly.withColumns({
         "first": F.min("month_idx").over(everything), "last": F.max("month_idx").over(everything)})
@@ -111,7 +117,7 @@ def _shifted(by: tuple[str, ...], first: int, last: int) -> Column:
 
 def _against(previous: Column | str) -> Column:
     """Growth on a period that exists; a month without sales counts as zero."""
-    return growth(F.coalesce(F.col("total_revenue"), F.lit(0.0)), previous)
+    return growth(F.coalesce(F.col("total_revenue"), F.lit(0)), previous)
 
 
 def month_over_month(spine: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -134,7 +140,7 @@ def year_to_date(spine: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 def rolling_three_months(spine: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """A third of the last three calendar months, however many had sales."""
-    return spine.withColumn("revenue_3m_rolling_avg", _shifted(by, -2, 0) / 3)
+    return spine.withColumn("revenue_3m_rolling_avg", real(_shifted(by, -2, 0)) / 3)
 
 
 def growth_label(fraction: Column | str = "mom_growth") -> Column:

@@ -91,11 +91,14 @@ class Tables:
 def plain(df: DataFrame, places: int | None = None) -> DataFrame:
     """Types any engine shares: doubles, 64-bit integers, ISO dates as text.
 
-    ``places`` rounds doubles that an operator leaves unrounded.
+    ``places`` rounds what an operator leaves unrounded; decimals are rounded
+    as decimals.
     """
     def convert(field: T.StructField):
         col, kind = F.col(f"`{field.name}`"), field.dataType
         if isinstance(kind, T.DecimalType):
+            if places is not None and kind.scale > places:
+                col = F.round(col, places)
             col = col.cast("double")
         elif isinstance(kind, (T.IntegerType, T.ShortType)):
             col = col.cast("bigint")
