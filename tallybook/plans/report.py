@@ -29,7 +29,7 @@ TITLES = (
 )
 COLUMN_HEADS = {
     2: "  Month           Revenue     Profit  Margin%     MoM%   Txns",
-    3: "  Quarter         Revenue     Profit  Margin%     QoQ%   Txns",
+    3: "  Quarter       Revenue     Profit  Margin%     QoQ%   Txns",
     4: "  Item         Rank    Revenue   Rev%  Margin%  Quadrant",
 }
 NO_ANOMALIES = "  No monthly revenue anomalies detected (IQR method, 1.5× fence)."
@@ -100,7 +100,7 @@ def _lines(df: DataFrame, section: int, line: Column, *order: Column | str) -> D
 
 def _signed_pct(column: str) -> Column:
     shown = F.when(F.col(column).isNotNull(), F.format_string("%+.2f%%", F.col(column)))
-    return F.lpad(F.coalesce(shown, F.lit("—")), 8, " ")
+    return F.format_string("%8s", F.coalesce(shown, F.lit("—")))
 
 
 def _executive_line() -> Column:
