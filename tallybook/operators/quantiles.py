@@ -10,6 +10,8 @@ wanted position (ten times that in the first step), whatever the input size.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 STEP = 6
@@ -72,8 +74,8 @@ def exact_quantiles(values: DataFrame, probabilities: list[float]) -> DataFrame:
             .select("series", "i", "fraction", "rank",
                     (F.col("upto") - F.col("n")).alias("before"), F.col("group").alias("parent"))
         )
-    low, high = (
-        pick("parent", "rank") / F.lit(float(10 ** SCALE)) for pick in (F.min_by, F.max_by))
+    exact = (F.col("parent").cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-SCALE))).cast("double")
+    low, high = F.min_by(exact, "rank"), F.max_by(exact, "rank")
     found = chosen.groupBy("series", "i").agg(
         (low + (high - low) * F.max("fraction")).alias("v"))
     return found.groupBy("series").agg(F.array(*[
