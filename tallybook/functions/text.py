@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import DataType
 
 # Code points a text trim drops, not only the space (fixed values).
 WHITESPACE = "".join(map(chr, (
@@ -36,6 +37,15 @@ def known_text(col: Column, tokens: Iterable[str]) -> Column:
     )
 
 
+def number(col: Column, dtype: DataType) -> Column:
+    """The text as a decimal, null when it is no number.
+
+    Text from ':' on, letters among it, cannot start a number. Sparing it the
+    cast spares the exception the parser raises inside.
+    """
+    return F.when(col < ":", col.try_cast(dtype))
+
+
 def iso_date(col: Column) -> Column:
     """DATE of text in the exact form yyyy-mm-dd, else null.
 

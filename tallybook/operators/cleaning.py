@@ -41,7 +41,7 @@ def normalise_tokens(df: DataFrame, vocabulary: Vocabulary = SHOP,
 def cast_numeric(df: DataFrame) -> DataFrame:
     """Quantity, price and total as decimals; text that is no number is null."""
     return df.withColumns({
-        name: F.col(name).try_cast(dtype) for name, dtype in NUMERIC_COLUMNS.items()
+        name: text.number(F.col(name), dtype) for name, dtype in NUMERIC_COLUMNS.items()
     })
 
 

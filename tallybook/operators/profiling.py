@@ -32,7 +32,7 @@ def null_counts(normalised: DataFrame) -> DataFrame:
 def coercion_counts(normalised: DataFrame) -> DataFrame:
     """Per numeric column: values present that are no number."""
     return _counts(normalised, {
-        name: F.col(name).isNotNull() & F.col(name).try_cast(dtype).isNull()
+        name: F.col(name).isNotNull() & text.number(F.col(name), dtype).isNull()
         for name, dtype in NUMERIC_COLUMNS.items()
     }, "coerced")
 
