@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import mixing, sharding
+from tallybook.llm import minhash, mixing, packing, sharding, token_files
 from tallybook.llm.workers import ship
+from tallybook.sources.staging import staging_path
+
+
+def tokenizer_file() -> str:
+    """The public vocabulary the queries use; it is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -31,7 +39,23 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op3_sharding, op5_mixing)}
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    path = staging_path(spark, "token-files")
+    token_files.write_tokens(docs, path, tokenizer_file())
+    rows = token_files.read_tokens(spark, path)
+    return rows.select("doc_id", "start", "n_tokens", token_files.ids_crc32(F.col("tokens")).alias("ids_crc32"))
+
+
+def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, folder, "documents"), shingle=3, percent=85)
+
+
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents"), tokenizer_file()).drop("ids")
+
+
+QUERIES = {f.__name__: f for f in (op3_sharding, op5_mixing, op6_token_files, op7_minhash, op9_packing)}
 
 # The same order, budgets and cut in one statement.
 OP5_SQL = r"""
