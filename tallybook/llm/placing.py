@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows that one window holds on average; a window's rows are sorted with spill.
-ROWS_PER_BUCKET = 20_000
-
-
 def bucket_count(rows: int) -> int:
-    """Buckets per group for ``rows`` rows in all; even a group that has them all is split evenly."""
-    return max(1, -(-rows // ROWS_PER_BUCKET))
+    """Buckets per group for ``rows`` rows in all.
+
+    With the square root of the rows, neither a bucket of a group that has all rows nor the list of
+    a group's buckets is longer than that root.
+    """
+    return max(1, isqrt(rows))
 
 
 def running_sum(df: DataFrame, group: list[str], bucket: str, order: list[Column], value: str,
