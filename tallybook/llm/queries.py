@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import minhash, mixing, packing, sharding, token_files
+from tallybook.llm import minhash, mixing, packing, quality, sharding, token_files
 from tallybook.llm.workers import ship
 from tallybook.sources.staging import staging_path
 
@@ -34,6 +34,12 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
         F.col("slot").cast("long"), "grown_shard")
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    return quality.score_documents(docs, labels).select(
+        "doc_id", "p_text", "host_posterior", "path_posterior", "score", "keep")
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -55,7 +61,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), tokenizer_file()).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op3_sharding, op5_mixing, op6_token_files, op7_minhash, op9_packing)}
+QUERIES = {f.__name__: f for f in (op3_sharding, op4_quality, op5_mixing, op6_token_files, op7_minhash, op9_packing)}
 
 # The same order, budgets and cut in one statement.
 OP5_SQL = r"""
