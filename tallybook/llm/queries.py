@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import minhash, mixing, packing, quality, sharding, token_files
+from tallybook.llm import html_text, minhash, mixing, packing, quality, sharding, token_files
 from tallybook.llm.workers import ship
 from tallybook.sources.staging import staging_path
 
@@ -57,11 +57,16 @@ def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, folder, "documents"), shingle=3, percent=85)
 
 
+def op8_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(read(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), tokenizer_file()).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op3_sharding, op4_quality, op5_mixing, op6_token_files, op7_minhash, op9_packing)}
+QUERIES = {f.__name__: f for f in (op3_sharding, op4_quality, op5_mixing, op6_token_files, op7_minhash, op8_html,
+                                 op9_packing)}
 
 # The same order, budgets and cut in one statement.
 OP5_SQL = r"""
