@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import html_text, minhash, mixing, packing, quality, sharding, token_files
+from tallybook.llm import html_text, lm, minhash, mixing, packing, quality, sharding, token_files
 from tallybook.llm.workers import ship
 from tallybook.sources.staging import staging_path
 
@@ -65,8 +65,13 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), tokenizer_file()).drop("ids")
 
 
+def op10_lm(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return lm.score_texts(read(spark, folder, "documents"), held_out)
+
+
 QUERIES = {f.__name__: f for f in (op3_sharding, op4_quality, op5_mixing, op6_token_files, op7_minhash, op8_html,
-                                 op9_packing)}
+                                 op9_packing, op10_lm)}
 
 # The same order, budgets and cut in one statement.
 OP5_SQL = r"""
