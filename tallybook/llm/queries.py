@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import html_text, lm, minhash, mixing, packing, quality, sharding, token_files
+from tallybook.llm import (embedding_dedup, html_text, lm, minhash, mixing, packing, quality, sharding,
+                           token_files, topk)
 from tallybook.llm.workers import ship
 from tallybook.sources.staging import staging_path
 
@@ -22,6 +23,15 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_vectors(read(spark, folder, "embeddings"))
+
+
+def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read(spark, folder, "embeddings")
+    return topk.top_k(rows.where("vec_id % 100 = 0"), rows)
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     rows = docs.select(
@@ -70,8 +80,8 @@ def op10_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score_texts(read(spark, folder, "documents"), held_out)
 
 
-QUERIES = {f.__name__: f for f in (op3_sharding, op4_quality, op5_mixing, op6_token_files, op7_minhash, op8_html,
-                                 op9_packing, op10_lm)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_topk, op3_sharding, op4_quality, op5_mixing,
+                                 op6_token_files, op7_minhash, op8_html, op9_packing, op10_lm)}
 
 # The same order, budgets and cut in one statement.
 OP5_SQL = r"""
