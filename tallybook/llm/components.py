@@ -20,9 +20,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
                      .distinct(), "edges")
     state = None
     for _ in range(rounds):
-        both = directed.unionByName(directed.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        upward = directed.select(F.col("b").alias("a"), F.col("a").alias("b"))
+        low = directed.unionByName(upward).groupBy("a").agg(F.min("b").alias("low"))
+        large = upward.join(low, "a").select(F.col("b").alias("a"), F.least("a", "low").alias("b"))
         large = large.where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))

@@ -19,16 +19,22 @@ from tallybook.llm.arrow_text import mix, shingle_hashes, slices, text_buffer, w
 from tallybook.llm.components import components
 from tallybook.llm.stage import stage
 
-SIGNATURE = 128
+SIGNATURE = 512
+# Of these, so many at most form bands; all serve the estimate that spares a comparison of sets.
+BANDED = 128
+# Columns of 64 bits that hold two bits of each value.
+PACKED = tuple(f"s{k}" for k in range(2 * SIGNATURE // 64))
 CELL_BITS = 22
 CELLS = 1 << CELL_BITS
 # Members of a bucket are compared in cells of about so many; the exact rest follows the labels.
-CELL_MEMBERS = 8
+CELL_MEMBERS = 5
 # A band scheme may miss a pair at the threshold with this probability.
 MISS = 1e-4
 # Pairs whose signatures agree in so many standard deviations less than the threshold's mean are
 # not compared on the sets.
-DEVIATIONS = 4.5
+DEVIATIONS = 3.0
+# Ids of texts to compare are broadcast up to this number, joined by a shuffle of the texts beyond.
+BROADCAST_IDS = 500_000
 
 _tables: dict[str, np.ndarray] = {}
 
@@ -86,10 +92,10 @@ def shingle_sets(column: pa.Array, size: int):
 def bands_for(percent: int) -> tuple[int, int]:
     """Rows in a band and number of bands: the longest bands that miss a pair at most with ``MISS``."""
     for rows in range(16, 0, -1):
-        bands = SIGNATURE // rows
+        bands = BANDED // rows
         if (1 - (percent / 100) ** rows) ** bands <= MISS:
             return rows, bands
-    return 1, SIGNATURE
+    return 1, BANDED
 
 
 def set_print(hashes: np.ndarray) -> bytes:
@@ -109,13 +115,13 @@ def _signature_rows(batches, size: int, rows: int, bands: int):
         for k in range(rows):
             keys = mix(keys + values[:, k:rows * bands:rows].astype(np.uint64))
         low = np.stack([values & 1, (values >> 1) & 1], axis=2).astype(np.uint8).reshape(count, -1)
-        packed = np.packbits(low, axis=1).view(np.int64).reshape(count, 4)
+        packed = np.packbits(low, axis=1).view(np.int64).reshape(count, len(PACKED))
         lists = pa.ListArray.from_arrays(pa.array(np.arange(count + 1, dtype=np.int32) * bands),
                                          pa.array(keys.ravel().view(np.int64)))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(sizes), pa.array(prints, pa.binary()), lists,
-             *(pa.array(np.ascontiguousarray(packed[:, k])) for k in range(4))],
-            names=["doc_id", "n_shingles", "print", "bands", "s0", "s1", "s2", "s3"])
+             *(pa.array(np.ascontiguousarray(packed[:, k])) for k in range(len(PACKED)))],
+            names=["doc_id", "n_shingles", "print", "bands", *PACKED])
 
 
 def _set_rows(batches, size: int):
@@ -132,8 +138,8 @@ def _set_rows(batches, size: int):
 def _unlike_values(a: str, b: str) -> Column:
     """Signature values in which two rows differ, two bits kept of each."""
     total = F.lit(0)
-    for k in range(4):
-        odd = F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))
+    for name in PACKED:
+        odd = F.col(f"{a}.{name}").bitwiseXOR(F.col(f"{b}.{name}"))
         either = odd.bitwiseOR(F.shiftrightunsigned(odd, 1)).bitwiseAND(F.lit(0x5555555555555555))
         total = total + F.bit_count(either)
     return total
@@ -179,25 +185,28 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
     texts = df.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
     signed = stage(texts.mapInArrow(
         lambda batches: _signature_rows(batches, shingle, rows, bands),
-        f"doc_id {kind}, n_shingles long, print binary, bands array<long>, s0 long, s1 long, s2 long, s3 long"),
+        f"doc_id {kind}, n_shingles long, print binary, bands array<long>, " + ", ".join(f"{x} long" for x in PACKED)),
         "signatures")
     usable = signed.where("print IS NOT NULL AND doc_id IS NOT NULL")
-    first = usable.groupBy("print").agg(F.min("doc_id").alias("doc_id"))
-    vertices = usable.join(first, ["print", "doc_id"]).dropDuplicates(["print"])
+    first = stage(usable.groupBy("print").agg(F.min("doc_id").alias("doc_id")), "first")
+    # Equal sets have equal signatures, so any row of a print describes it.
+    vertices = usable.join(first, ["print", "doc_id"], "left_semi")
 
     # Vertices that share a bucket with another one.
     spread = vertices.select("print", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    members = stage(spread.join(shared, "bucket"), "members")
+    # Repeated rows of one text and id come once.
+    members = stage(spread.join(shared, "bucket").distinct(), "members")
     involved = members.select("print").distinct()
-    marks = stage(vertices.join(involved, "print").select("print", "doc_id", "n_shingles", "s0", "s1", "s2", "s3"),
-                  "involved")
+    marks = stage(vertices.join(involved, "print", "left_semi").dropDuplicates(["print"]), "involved")
     wanted = marks.select("doc_id", "print")
+    if marks.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
     sets = stage(texts.join(wanted, "doc_id").select("print", "text").mapInArrow(
         lambda batches: _set_rows(batches, shingle), "print binary, hashes array<long>")
         .dropDuplicates(["print"]), "sets")
 
-    described = members.join(marks.drop("doc_id"), "print")
+    described = members.join(marks.drop("doc_id", "bands"), "print")
     cells = F.greatest(F.lit(1), F.floor(F.col("members") / CELL_MEMBERS))
     placed = described.withColumn("cell", F.pmod(F.xxhash64("print", "bucket"), cells))
     pairs = (
@@ -214,11 +223,13 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
         "label", F.coalesce("label", "print"))
     per_label = large.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     main = per_label.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("labels"))
-    large = stage(large.join(main.where("labels > 1").select("bucket", F.col("most.label").alias("main")), "bucket"),
-                  "open-buckets")
+    large = large.join(main.where("labels > 1").select("bucket", F.col("most.label").alias("main")), "bucket")
+    large = stage(large.join(marks.select("print", "bands"), "print"), "open-buckets")
+    # A pair that shares several buckets comes from the first of those alone.
+    first_shared = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("bucket")
     rest = (
         large.where("label <> main").alias("x").join(large.alias("y"), "bucket")
-        .where((F.col("x.label") != F.col("y.label")) & _alike("x", "y", percent))
+        .where((F.col("x.label") != F.col("y.label")) & _alike("x", "y", percent) & first_shared)
         .select(F.least("x.print", "y.print").alias("a"), F.greatest("x.print", "y.print").alias("b")).distinct()
     )
     late = stage(_confirmed(rest, sets, percent), "links")
