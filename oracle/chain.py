@@ -6,6 +6,9 @@ NULLS = ("''", "'#N/A'", "'#N/A N/A'", "'#NA'", "'-1.#IND'", "'-1.#QNAN'", "'-Na
          "'1.#IND'", "'1.#QNAN'", "'<NA>'", "'N/A'", "'NA'", "'NULL'", "'NaN'", "'None'", "'n/a'",
          "'nan'", "'null'", "'ERROR'", "'UNKNOWN'", "'none'")
 
+# What the fixture pads with.
+PADDING = "' ' || chr(9) || chr(160)"
+
 COLUMNS = ("transaction_id", "item", "quantity", "price_per_unit", "total_spent",
            "payment_method", "location", "transaction_date", "order_type", "customer_id")
 
@@ -29,16 +32,20 @@ once AS (
     CASE k % 19 WHEN 0 THEN NULL WHEN 1 THEN 'ERROR' WHEN 2 THEN ' UNKNOWN '
       WHEN 3 THEN '  ' || lower(p_type) || ' ' WHEN 4 THEN 'Gadget' ELSE p_type END AS item,
     CASE k % 29 WHEN 0 THEN NULL WHEN 1 THEN 'ERROR' WHEN 2 THEN 'abc'
-      ELSE CAST(qty AS VARCHAR) END AS quantity,
-    CASE k % 31 WHEN 0 THEN 'UNKNOWN' WHEN 1 THEN '' ELSE CAST(price AS VARCHAR) END
+      WHEN 3 THEN chr(160) || CAST(qty AS VARCHAR) || ' ' ELSE CAST(qty AS VARCHAR) END AS quantity,
+    CASE k % 31 WHEN 0 THEN 'UNKNOWN' WHEN 1 THEN ''
+      WHEN 2 THEN ' ' || CAST(price AS VARCHAR) || chr(9) ELSE CAST(price AS VARCHAR) END
       AS price_per_unit,
     CASE k % 17 WHEN 0 THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)
       WHEN 1 THEN 'ERROR'
+      WHEN 2 THEN chr(9) || CAST(CAST(qty * price AS DECIMAL(18,2)) AS VARCHAR)
       ELSE CAST(CAST(qty * price AS DECIMAL(18,2)) AS VARCHAR) END AS total_spent,
     CASE WHEN k % 3 = 0 THEN 'UNKNOWN' ELSE o_orderpriority END AS payment_method,
     CASE WHEN k % 5 < 2 THEN NULL WHEN k % 5 = 2 THEN replace(lower(r_name), ' ', '-')
       ELSE r_name END AS location,
     CASE WHEN k % 23 = 0 THEN 'ERROR' WHEN k % 46 = 1 THEN '2023-02-30'
+      WHEN k % 37 = 0 THEN ' ' || strftime(l_shipdate, '%Y-%m-%d') || chr(9)
+      WHEN k % 37 = 1 THEN chr(160) || strftime(l_shipdate, '%Y-%m-%d')
       ELSE strftime(l_shipdate, '%Y-%m-%d') END AS transaction_date,
     c_mktsegment AS order_type,
     CAST(o_custkey AS VARCHAR) AS customer_id
@@ -75,7 +82,7 @@ def steps(old: bool = False, price_median: str = "raw") -> list[str]:
     known = vocabulary(old)
     tokens = ", ".join(NULLS)
     text = ", ".join(
-        f"CASE WHEN {c} IN ({tokens}) THEN NULL ELSE NULLIF(trim({c}), '') END AS {c}"
+        f"CASE WHEN {c} IN ({tokens}) THEN NULL ELSE NULLIF(trim({c}, {PADDING}), '') END AS {c}"
         for c in COLUMNS)
     return [
         RAW,

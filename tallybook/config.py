@@ -36,11 +36,6 @@ TOTAL_TOLERANCE = "0.01"
 
 # ---------------------------------------------------------------------------
 
-# Per-item statistics have one row per vocabulary entry. Up to this many
-# entries the lookup is broadcast; beyond it the join strategy is left to the
-# optimizer, which sees the real sizes at run time.
-BROADCAST_ITEM_LIMIT = 10_000
-
 
 @dataclass(frozen=True)
 class Vocabulary:

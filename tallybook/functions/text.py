@@ -43,6 +43,7 @@ def number(col: Column, dtype: DataType) -> Column:
     Text from ':' on, letters among it, cannot start a number. Sparing it the
     cast spares the exception the parser raises inside.
     """
+    col = trimmed(col)
     return F.when(col < ":", col.try_cast(dtype))
 
 
@@ -50,7 +51,9 @@ def iso_date(col: Column) -> Column:
     """DATE of text in the exact form yyyy-mm-dd, else null.
 
     A plain cast would also take a bare year or a date with a time behind it.
+    White space around the date does not count.
     """
+    col = trimmed(col)
     shape = (
         (F.length(col) == 10) & (F.substring(col, 5, 1) == "-") & (F.substring(col, 8, 1) == "-")
         & col.between("0", ":") & F.substring(col, 10, 1).between("0", "9")
@@ -58,9 +61,22 @@ def iso_date(col: Column) -> Column:
     return F.when(shape, col.try_cast("date"))
 
 
+def spellings(values: Iterable[str], aliases: Mapping[str, str]) -> dict[str, str]:
+    """Lower-case spelling -> the vocabulary's."""
+    values = tuple(values)
+    known = {v.lower(): v for v in values}
+    known.update({k.lower(): v for k, v in aliases.items() if v in set(values)})
+    return known
+
+
+def lookup_key(col: Column) -> Column:
+    return F.lower(trimmed(col))
+
+
 def canonical(col: Column, values: Iterable[str], aliases: Mapping[str, str]) -> Column:
-    """The vocabulary's spelling of a value, null when it is not in it."""
-    spelling = {v.lower(): v for v in values}
-    spelling.update({k.lower(): v for k, v in aliases.items() if v in set(values)})
-    pairs = [F.lit(text) for entry in spelling.items() for text in entry]
-    return F.try_element_at(F.create_map(*pairs), F.lower(trimmed(col)))
+    """The vocabulary's spelling of a value, null when it is not in it.
+
+    The map is searched entry by entry: for a handful of values only.
+    """
+    pairs = [F.lit(text) for entry in spellings(values, aliases).items() for text in entry]
+    return F.try_element_at(F.create_map(*pairs), lookup_key(col))

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallybook.config import READER_NULLS, SHOP, TOTAL_TOLERANCE, Vocabulary
 from tallybook.functions import text
-from tallybook.schemas import CATEGORICAL_COLUMNS, MONEY, NUMERIC_COLUMNS
+from tallybook.schemas import MONEY, NUMERIC_COLUMNS
+from tallybook.sources.vocabulary import item_table
 
 
 def normalise_tokens(df: DataFrame, vocabulary: Vocabulary = SHOP,
@@ -51,7 +52,7 @@ def parse_dates(df: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame:
     if date_format == "yyyy-MM-dd":
         parsed = text.iso_date(col)
     else:
-        parsed = F.try_to_timestamp(col, F.lit(date_format)).cast("date")
+        parsed = F.try_to_timestamp(text.trimmed(col), F.lit(date_format)).cast("date")
     return df.withColumn("transaction_date", parsed)
 
 
@@ -59,12 +60,34 @@ def drop_undated(df: DataFrame) -> DataFrame:
     return df.filter(F.col("transaction_date").isNotNull())
 
 
-def standardise_categoricals(df: DataFrame, vocabulary: Vocabulary = SHOP) -> DataFrame:
-    """Item, payment method and location in their vocabulary spelling or null."""
-    return df.withColumns({
+def with_known_item(df: DataFrame, items: DataFrame, name: str = "known_item") -> DataFrame:
+    """Adds the vocabulary's spelling of the item, null when it is not in it.
+
+    Items are looked up by a join with a table (spelling, known), so the cost of
+    a row does not grow with their number; Spark broadcasts a table of a size
+    below its threshold and splits frequent items otherwise.
+    """
+    columns = df.columns
+    keyed = df.withColumn("spelling", text.lookup_key(F.col("item")))
+    return keyed.join(items, "spelling", "left").select(*columns, F.col("known").alias(name))
+
+
+def standardise_categoricals(df: DataFrame, vocabulary: Vocabulary = SHOP,
+                             items: DataFrame | None = None) -> DataFrame:
+    """Item, payment method and location in their vocabulary spelling or null.
+
+    ``items`` is an item table (spelling in lower case, known) to use instead
+    of the vocabulary's items.
+    """
+    columns = df.columns
+    if items is None:
+        items = item_table(df.sparkSession, vocabulary)
+    few = {
         name: text.canonical(F.col(name), values, aliases)
-        for name, values, aliases in vocabulary.columns()
-    })
+        for name, values, aliases in vocabulary.columns() if name != "item"
+    }
+    found = with_known_item(df, items).withColumns({**few, "item": F.col("known_item")})
+    return found.select(*columns)
 
 
 def line_total(quantity: str = "quantity", price: str = "price_per_unit") -> Column:
@@ -101,12 +124,17 @@ def typed_records(raw: DataFrame, vocabulary: Vocabulary = SHOP) -> DataFrame:
 def standardised_records(raw: DataFrame, vocabulary: Vocabulary = SHOP) -> DataFrame:
     """All row-local steps in order: one narrow stage over the source.
 
-    Tokens are looked for only in the columns that stay text. In the others
-    they end as null anyway: no token is a number, a date or a valid category.
-    That keeps the generated code small enough for the JVM to compile.
+    Tokens are looked for only where they make a difference: in the columns
+    that stay text, and in a category whose vocabulary has a token's spelling.
+    In the others they end as null anyway, since no token is a number, a date
+    or a valid category. That keeps the generated code small enough for the JVM
+    to compile.
     """
+    tokens = {t.lower() for t in (*READER_NULLS, *vocabulary.invalid_tokens)}
+    plain = {name for name, values, aliases in vocabulary.columns()
+             if tokens.isdisjoint(text.spellings(values, aliases))}
     free_text = [c for c in raw.columns
-                 if c not in (*NUMERIC_COLUMNS, *CATEGORICAL_COLUMNS, "transaction_date")]
+                 if c not in (*NUMERIC_COLUMNS, *plain, "transaction_date")]
     return (
         raw.transform(normalise_tokens, vocabulary, columns=free_text)
         .transform(cast_numeric)

@@ -14,7 +14,6 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallybook.config import BROADCAST_ITEM_LIMIT, SHOP, Vocabulary
 from tallybook.operators.cleaning import line_total
 from tallybook.operators.quantiles import exact_quantiles
 from tallybook.schemas import PRICE, QUANTITY
@@ -124,18 +123,14 @@ def fit(counts: DataFrame, price_median: str = "raw") -> Statistics:
     return Statistics(by_item, flat(overall))
 
 
-def with_item_statistics(df: DataFrame, statistics: Statistics,
-                         vocabulary: Vocabulary = SHOP) -> DataFrame:
+def with_item_statistics(df: DataFrame, statistics: Statistics) -> DataFrame:
     """Adds item_quantity and item_price.
 
-    There is one row per vocabulary item, so the lookup is broadcast as long
-    as the vocabulary is below the limit. Past it the optimizer decides, and
-    adaptive execution splits the items that hold most of the rows.
+    There is one row per vocabulary item, in a stored table whose size Spark
+    knows: it broadcasts a small one; otherwise adaptive execution splits the
+    items that hold most of the rows.
     """
-    lookup = statistics.by_item
-    if len(vocabulary.items) <= BROADCAST_ITEM_LIMIT:
-        lookup = F.broadcast(lookup)
-    return df.join(lookup, "item", "left")
+    return df.join(statistics.by_item, "item", "left")
 
 
 def _overall(statistics: Statistics, column: str) -> Column:
@@ -155,14 +150,14 @@ def filled_category(statistics: Statistics, column: str) -> Column:
     return F.coalesce(F.col(column), _overall(statistics, column))
 
 
-def fill_gaps(df: DataFrame, statistics: Statistics, vocabulary: Vocabulary = SHOP) -> DataFrame:
+def fill_gaps(df: DataFrame, statistics: Statistics) -> DataFrame:
     """All gaps but the transaction id's filled; the total is left out.
 
     The total follows from quantity and price, so it need not travel through
     the duplicate removal; :func:`with_total` puts it back.
     """
     return (
-        with_item_statistics(df, statistics, vocabulary)
+        with_item_statistics(df, statistics)
         .withColumns({
             "quantity": filled_quantity(statistics),
             "price_per_unit": filled_price(statistics),

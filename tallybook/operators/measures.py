@@ -28,12 +28,18 @@ def in_context(sales: DataFrame, date_from: str | None = None, date_to: str | No
                **values: str | Iterable[str]) -> DataFrame:
     """Slicers: a date range and, by column name, one value or several.
 
-    Plain comparisons on stored columns, so they reach the file scan.
+    Plain comparisons on stored columns, so they reach the file scan; dates
+    (yyyy-mm-dd) also limit the month, by which engineered sales are laid out.
     """
+    monthly = "year_month" in sales.columns
     if date_from:
         sales = sales.filter(F.col("transaction_date") >= F.lit(date_from).cast("date"))
+        if monthly:
+            sales = sales.filter(F.col("year_month") >= F.lit(str(date_from)[:7]))
     if date_to:
         sales = sales.filter(F.col("transaction_date") <= F.lit(date_to).cast("date"))
+        if monthly:
+            sales = sales.filter(F.col("year_month") <= F.lit(str(date_to)[:7]))
     for column, wanted in values.items():
         wanted = [wanted] if isinstance(wanted, str) else list(wanted)
         sales = sales.filter(F.col(column).isin(*wanted))
@@ -92,13 +98,15 @@ def monthly_spine(sales: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """
     monthly = totals(sales, *by, month_index(F.col("transaction_date")).alias("month_idx")).select(
         *by, "month_idx", F.col("gross").cast(GROSS).alias("total_revenue"))
-    everything = Window.partitionBy()
-    span = monthly.withColumns({
-        "first": F.min("month_idx").over(everything), "last": F.max("month_idx").over(everything)})
-    spine = (
-        span.select(*by, "first", "last").distinct()
-        .select(*by, F.explode(F.sequence("first", "last")).alias("month_idx"))
-    )
+    span = sales.agg(F.min(month_index(F.col("transaction_date"))).alias("first"),
+                     F.max(month_index(F.col("transaction_date"))).alias("last"))
+    if by:
+        groups = monthly.select(*by).distinct()
+        ends = span.select(F.struct("first", "last")).scalar()
+        span = groups.withColumn("ends", ends).select(*by, "ends.first", "ends.last")
+    else:
+        span = span.where("first IS NOT NULL")
+    spine = span.select(*by, F.explode(F.sequence("first", "last")).alias("month_idx"))
     year = F.expr("(month_idx - 1) div 12").cast("int")
     month = (F.pmod(F.col("month_idx") - 1, F.lit(12)) + 1).cast("int")
     return spine.join(monthly, [*by, "month_idx"], "left").select(

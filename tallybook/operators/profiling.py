@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallybook.config import SHOP, Vocabulary
 from tallybook.functions import text
 from tallybook.operators import cleaning
 from tallybook.schemas import CATEGORICAL_COLUMNS, NUMERIC_COLUMNS
+from tallybook.sources.vocabulary import item_table
 
 
 def _counts(df: DataFrame, conditions: dict[str, Column], name: str) -> DataFrame:
@@ -30,11 +31,24 @@ def null_counts(normalised: DataFrame) -> DataFrame:
 
 
 def coercion_counts(normalised: DataFrame) -> DataFrame:
-    """Per numeric column: values present that are no number."""
-    return _counts(normalised, {
-        name: F.col(name).isNotNull() & text.number(F.col(name), dtype).isNull()
-        for name, dtype in NUMERIC_COLUMNS.items()
-    }, "coerced")
+    """Per numeric column: values present that are no number, and numbers too large for it.
+
+    Both end as gaps; ``out_of_range`` tells real numbers from text.
+    """
+    def lost(name: str) -> Column:
+        return F.col(name).isNotNull() & text.number(F.col(name), NUMERIC_COLUMNS[name]).isNull()
+
+    def finite(name: str) -> Column:
+        value = text.number(F.col(name), T.DoubleType())
+        return value.isNotNull() & (F.abs(value) < float("inf"))
+
+    counted = normalised.agg(
+        *[F.count_if(lost(c)).alias(c) for c in NUMERIC_COLUMNS],
+        *[F.count_if(lost(c) & finite(c)).alias(f"{c}_range") for c in NUMERIC_COLUMNS])
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("coerced"),
+                 F.col(f"{c}_range").alias("out_of_range")) for c in NUMERIC_COLUMNS]))
+    return counted.select(rows.alias("row")).select("row.*")
 
 
 def date_counts(dated: DataFrame) -> DataFrame:
@@ -48,8 +62,11 @@ def date_counts(dated: DataFrame) -> DataFrame:
 
 def out_of_vocabulary_counts(typed: DataFrame, vocabulary: Vocabulary = SHOP) -> DataFrame:
     """Per categorical column: values present that the vocabulary lacks."""
-    return _counts(typed, {
-        name: F.col(name).isNotNull() & text.canonical(F.col(name), values, aliases).isNull()
+    known = cleaning.with_known_item(typed, item_table(typed.sparkSession, vocabulary))
+    return _counts(known, {
+        name: F.col(name).isNotNull() & (
+            F.col("known_item") if name == "item" else text.canonical(F.col(name), values, aliases)
+        ).isNull()
         for name, values, aliases in vocabulary.columns()
     }, "unrecognised")
 

@@ -14,9 +14,12 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallybook.sources.staging import stage_table
+
 STEP = 6
 LEVELS = 3
 SCALE = 6
+LIMIT = 10 ** 12
 
 
 def _group_of(unscaled: Column, width: int) -> Column:
@@ -28,15 +31,17 @@ def exact_quantiles(values: DataFrame, probabilities: list[float]) -> DataFrame:
     """(series, q): the quantiles of each series as an array of doubles.
 
     ``values`` has the columns series, value (up to six decimals and twelve
-    digits before them) and n, how often the value occurs. Positions between
-    two values are interpolated linearly. ``series`` names a measure, so there
-    are few of them; a series without values has no row.
+    digits before them; a larger one raises) and n, how often the value occurs.
+    Positions between two values are interpolated linearly. ``series`` names a
+    measure, so there are few of them; a series without values has no row. The
+    distinct values are stored once and each step reads them.
     """
-    pairs = (
+    unscaled = F.when(F.abs("value") < LIMIT, (F.col("value") * F.lit(10 ** SCALE)).cast("bigint")).otherwise(
+        F.raise_error(F.concat(F.lit("quantile of a value beyond 12 digits: "), F.col("value").cast("string"))))
+    pairs = stage_table(
         values.filter(F.col("value").isNotNull() & (F.col("n") > 0))
-        .groupBy("series", (F.col("value") * F.lit(10 ** SCALE)).cast("bigint").alias("unscaled"))
-        .agg(F.sum("n").cast("bigint").alias("n"))
-    )
+        .groupBy("series", unscaled.alias("unscaled"))
+        .agg(F.sum("n").cast("bigint").alias("n")), "quantile-values")
     asked = F.array(*[
         F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"))
         for i, p in enumerate(probabilities)
@@ -68,7 +73,7 @@ def exact_quantiles(values: DataFrame, probabilities: list[float]) -> DataFrame:
         )
         # `chosen` has at most two rows per series and probability.
         chosen = (
-            counts.join(F.broadcast(chosen), ["series", "parent"])
+            counts.join(chosen, ["series", "parent"])
             .withColumn("upto", F.col("before") + F.sum("n").over(running))
             .filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
             .select("series", "i", "fraction", "rank",

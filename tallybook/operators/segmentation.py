@@ -16,14 +16,19 @@ _METRICS = ("recency_days", "frequency", "monetary")
 
 
 def customer_metrics(engineered: DataFrame) -> DataFrame:
-    """Days since the last purchase, purchases and revenue of each customer."""
-    newest = engineered.agg(F.max("transaction_date")).scalar()
-    return engineered.groupBy("customer_id").agg(
+    """Days since the last purchase, purchases and revenue of each customer.
+
+    The sales are read once: the totals are stored, and the newest date of all
+    is the newest of the customers' last purchases.
+    """
+    totals_of = stage_table(engineered.groupBy("customer_id").agg(
         F.max("transaction_date").alias("last_purchase"),
         F.count(F.lit(1)).alias("frequency"),
         F.sum("revenue").alias("monetary"),
-    ).select("customer_id", F.date_diff(newest, "last_purchase").alias("recency_days"),
-             "frequency", "monetary")
+    ), "customer-totals")
+    newest = totals_of.agg(F.max("last_purchase")).scalar()
+    return totals_of.select("customer_id", F.date_diff(newest, "last_purchase").alias("recency_days"),
+                            "frequency", "monetary")
 
 
 def rfm_scores(customers: DataFrame) -> DataFrame:
@@ -60,7 +65,7 @@ def rfm_scores(customers: DataFrame) -> DataFrame:
 
 
 def rfm_segments(engineered: DataFrame) -> DataFrame:
-    return rfm_scores(stage_table(customer_metrics(engineered), "customer-metrics"))
+    return rfm_scores(customer_metrics(engineered))
 
 
 def channel_net_profit(sales: DataFrame, cost_per_order: Mapping[str, str],

@@ -83,15 +83,15 @@ def validate_features(df: DataFrame, rate: str = COGS_RATE, tolerance: str = TOT
                       required: tuple[str, ...] = REQUIRED_FEATURES) -> DataFrame:
     """Engineered columns present and filled, money identities within tolerance.
 
-    ``tolerance="0"`` asks for exact equality with the rounded values, as the
-    older rules do.
+    ``tolerance="0"`` asks for exact equality, as the older rules do: revenue
+    with the unrounded product, cost with the rounded share of revenue.
     """
     present = [c for c in required if c in df.columns]
     gaps = sum((F.count_if(F.col(c).isNull()) for c in present), F.lit(0))
     product = F.col("quantity") * F.col("price_per_unit")
     cost = F.col("revenue") * F.lit(rate).cast("decimal(4,2)")
     if tolerance == "0":
-        product, cost = F.round(product, 2), F.round(cost, 2)
+        cost = F.round(cost, 2)
     counted = df.agg(
         F.lit(len(required) - len(present)).alias("features_present"),
         gaps.alias("features_filled"),

@@ -104,7 +104,7 @@ def driver_tree(sales: DataFrame, drivers: Sequence[str] = DRIVERS) -> DataFrame
     The drivers are aggregated before the cube, so its grouping sets multiply
     a small table and not the sales.
     """
-    latest = F.max("year").over(Window.partitionBy())
+    latest = sales.agg(F.max("year")).scalar()
     split = (
         totals(sales, *drivers, "year")
         .withColumn("age", latest - F.col("year"))
@@ -133,7 +133,7 @@ def price_volume_mix(sales: DataFrame, parent: str = "location") -> DataFrame:
     change of each item's average price on its new units, and mix the rest.
     Items sold in only one of the years fall under mix.
     """
-    latest = F.max("year").over(Window.partitionBy())
+    latest = sales.agg(F.max("year")).scalar()
     aged = totals(sales, parent, "item", "year").withColumn("age", latest - F.col("year"))
 
     def at(age: int, column: str) -> Column:

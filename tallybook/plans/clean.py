@@ -16,12 +16,11 @@ def fit_statistics(standardised: DataFrame, price_median: str = "raw") -> imputa
     return imputation.fit(counts, price_median)
 
 
-def clean_records(standardised: DataFrame, statistics: imputation.Statistics,
-                  vocabulary: Vocabulary = SHOP) -> DataFrame:
+def clean_records(standardised: DataFrame, statistics: imputation.Statistics) -> DataFrame:
     """Gaps filled, duplicates removed, columns in the usual order."""
     columns = standardised.columns
     return (
-        standardised.transform(imputation.fill_gaps, statistics, vocabulary)
+        standardised.transform(imputation.fill_gaps, statistics)
         .transform(cleaning.remove_duplicates)
         .transform(imputation.with_total)
         .select(*columns)
@@ -32,7 +31,7 @@ def clean_sales(raw: DataFrame, vocabulary: Vocabulary = SHOP,
                 price_median: str = "raw") -> DataFrame:
     """All cleaning steps; ``price_median="filled"`` gives the older rule."""
     standardised = cleaning.standardised_records(raw, vocabulary)
-    return clean_records(standardised, fit_statistics(standardised, price_median), vocabulary)
+    return clean_records(standardised, fit_statistics(standardised, price_median))
 
 
 def run_cleaning(raw: DataFrame, output_path: str, vocabulary: Vocabulary = SHOP,

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-QUANTITY = T.DecimalType(12, 2)
+# As wide as the product of quantity and price stays exact: 18 + 18 + 1 digits.
+QUANTITY = T.DecimalType(18, 2)
 PRICE = T.DecimalType(18, 6)
 MONEY = T.DecimalType(18, 2)
 

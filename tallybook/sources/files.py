@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -25,19 +27,66 @@ def snake_case(name: str) -> str:
     return re.sub(r"[^0-9a-z]+", "_", spaced.lower()).strip("_")
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Header -> the CSV files that have it.
+
+    The first line of every file is read on its own, a few files at a time; the
+    driver keeps file names and headers. Files without a line are left out.
+    """
+    files = sorted(spark.read.text(path).inputFiles())
+
+    def header(file: str) -> tuple[str, ...]:
+        line = spark.read.text(file).first()
+        return tuple(next(csv.reader([line.value.removeprefix("\ufeff")]), ())) if line else ()
+
+    with ThreadPoolExecutor(8) as pool:
+        found = list(pool.map(header, files))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file, names in zip(files, found):
+        if names:
+            layouts.setdefault(names, []).append(file)
+    return layouts
+
+
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True,
+                 malformed: str | None = None) -> DataFrame:
     """Raw records with a header row, every column text, found by name.
 
-    A path that does not exist fails at once (``PATH_NOT_FOUND``), and so does
-    a file without one of the eight record columns. Further columns are kept.
+    Files may differ in the order of their columns and in further columns; each
+    header is read on its own and the rows are united by name. A path that does
+    not exist fails at once (``PATH_NOT_FOUND``), and so does a file without one
+    of the eight record columns.
+
+    ``multi_line`` allows line breaks inside quotes; a file is then read by one
+    task, so turn it off for single huge files that have none. ``malformed``
+    names a further column with the text of a record that does not fit its
+    header, null for all others; count it to report such records.
     """
-    found = spark.read.options(**CSV_OPTIONS).csv(path)
-    named = found.toDF(*[snake_case(c) for c in found.columns])
-    missing = [c for c in schemas.RAW_COLUMNS if c not in named.columns]
-    if missing:
-        raise ValueError(f"raw file lacks columns: {', '.join(missing)}")
-    extras = [c for c in named.columns if c not in schemas.RAW_COLUMNS]
-    return named.select(*schemas.RAW_COLUMNS, *extras)
+    parts = []
+    for header, paths in csv_headers(spark, path).items():
+        names = [snake_case(c) for c in header]
+        missing = [c for c in schemas.RAW_COLUMNS if c not in names]
+        if missing:
+            raise ValueError(f"raw file lacks columns: {', '.join(missing)}")
+        extras = [c for c in names if c not in schemas.RAW_COLUMNS]
+        fields = [T.StructField(c, T.StringType()) for c in (*header, *([malformed] if malformed else []))]
+        reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).schema(T.StructType(fields))
+        if malformed:
+            reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", malformed)
+            names = [*names, malformed]
+            extras = [*extras, malformed]
+        parts.append(reader.csv(paths).toDF(*names).select(*schemas.RAW_COLUMNS, *extras))
+    if not parts:
+        raise ValueError(f"no header in {path}")
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows
+
+
+def malformed_records(raw: DataFrame, malformed: str) -> DataFrame:
+    """How many records do not fit their header, in one row."""
+    return raw.agg(F.count(F.lit(1)).alias("records"), F.count(malformed).alias("malformed"))
 
 
 def read_typed(spark: SparkSession, path: str, schema: T.StructType,
@@ -55,8 +104,12 @@ def read_clean(spark: SparkSession, path: str, file_format: str = "parquet",
     return read_typed(spark, path, schemas.with_extras(schemas.CLEAN, *extras), file_format)
 
 
-def read_engineered(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
-    return read_typed(spark, path, schemas.ENGINEERED, file_format)
+def read_engineered(spark: SparkSession, path: str, file_format: str = "parquet",
+                    extras: tuple[str, ...] = ()) -> DataFrame:
+    """``extras`` are further text columns of the clean records, such as the order type."""
+    clean = schemas.with_extras(schemas.CLEAN, *extras).fields
+    schema = T.StructType(clean + schemas.FINANCIAL.fields + schemas.TIME.fields)
+    return read_typed(spark, path, schema, file_format)
 
 
 def write_table(df: DataFrame, path: str, file_format: str = "parquet",

@@ -73,6 +73,8 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
     price = F.col("p_retailprice").cast("decimal(12,2)")
     amount = (count.cast("decimal(12,0)") * price).cast("decimal(18,2)")
 
+    day = F.date_format(F.col("l_shipdate").cast("date"), "yyyy-MM-dd")
+
     records = joined.select(
         F.concat_ws("_", F.lit("TXN"), "l_orderkey", "l_linenumber", "l_partkey",
                     "l_suppkey").alias("transaction_id"),
@@ -85,12 +87,15 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
         F.when(rest(29) == 0, F.lit(None))
         .when(rest(29) == 1, F.lit("ERROR"))
         .when(rest(29) == 2, F.lit("abc"))
+        .when(rest(29) == 3, F.concat(F.lit("\u00a0"), count.cast("string"), F.lit(" ")))
         .otherwise(count.cast("string")).alias("quantity"),
         F.when(rest(31) == 0, F.lit("UNKNOWN"))
         .when(rest(31) == 1, F.lit(""))
+        .when(rest(31) == 2, F.concat(F.lit(" "), price.cast("string"), F.lit("\t")))
         .otherwise(price.cast("string")).alias("price_per_unit"),
         F.when(rest(17) == 0, F.col("l_extendedprice").cast("decimal(18,2)").cast("string"))
         .when(rest(17) == 1, F.lit("ERROR"))
+        .when(rest(17) == 2, F.concat(F.lit("\t"), amount.cast("string")))
         .otherwise(amount.cast("string")).alias("total_spent"),
         F.when(rest(3) == 0, F.lit("UNKNOWN"))
         .otherwise(F.col("o_orderpriority")).alias("payment_method"),
@@ -99,7 +104,9 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.col("r_name")).alias("location"),
         F.when(rest(23) == 0, F.lit("ERROR"))
         .when(rest(46) == 1, F.lit("2023-02-30"))
-        .otherwise(F.date_format(F.col("l_shipdate").cast("date"), "yyyy-MM-dd"))
+        .when(rest(37) == 0, F.concat(F.lit(" "), day, F.lit("\t")))
+        .when(rest(37) == 1, F.concat(F.lit("\u00a0"), day))
+        .otherwise(day)
         .alias("transaction_date"),
         F.col("c_mktsegment").alias("order_type"),
         F.col("o_custkey").cast("string").alias("customer_id"),

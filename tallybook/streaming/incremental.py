@@ -7,13 +7,13 @@ the statistics of the whole history come from them without reading it again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tallybook import schemas
 from tallybook.config import SHOP, Vocabulary
 from tallybook.operators import cleaning, imputation
 from tallybook.plans.clean import clean_records
-from tallybook.sources.files import CSV_OPTIONS
+from tallybook.sources.files import CSV_OPTIONS, snake_case
 from tallybook.sources.staging import stage_table
 
 
@@ -21,11 +21,19 @@ def load_new_files(spark: SparkSession, source: str, store: str, vocabulary: Voc
                    extras: tuple[str, ...] = (), files_per_batch: int | None = None) -> None:
     """Process the CSV files that appeared in ``source`` since the last call.
 
+    Columns are found by their names in any spelling (``Transaction ID``): the
+    header is read from one file, and a file with another header fails the load.
     ``store`` keeps records, counts and progress. A batch repeated after a
     failure overwrites its own output, so no record is stored twice.
     """
+    header = spark.read.options(**CSV_OPTIONS).csv(source).columns
+    names = [snake_case(c) for c in header]
+    wanted = (*schemas.RAW_COLUMNS, *extras)
+    missing = [c for c in wanted if c not in names]
+    if missing:
+        raise ValueError(f"raw file lacks columns: {', '.join(missing)}")
     reader = (
-        spark.readStream.schema(schemas.with_extras(schemas.RAW, *extras))
+        spark.readStream.schema(T.StructType([T.StructField(c, T.StringType()) for c in header]))
         .options(**CSV_OPTIONS).option("enforceSchema", False)
     )
     if files_per_batch:
@@ -33,7 +41,8 @@ def load_new_files(spark: SparkSession, source: str, store: str, vocabulary: Voc
 
     def store_batch(batch: DataFrame, batch_id: int) -> None:
         records = f"{store}/records/batch={batch_id}"
-        cleaning.standardised_records(batch, vocabulary).write.mode("overwrite").parquet(records)
+        named = batch.toDF(*names).select(*wanted)
+        cleaning.standardised_records(named, vocabulary).write.mode("overwrite").parquet(records)
         stored = batch.sparkSession.read.parquet(records)
         imputation.value_counts(stored).write.mode("overwrite").parquet(
             f"{store}/counts/batch={batch_id}")
@@ -48,10 +57,15 @@ def load_new_files(spark: SparkSession, source: str, store: str, vocabulary: Voc
     query.awaitTermination()
 
 
-def clean_history(spark: SparkSession, store: str, vocabulary: Vocabulary = SHOP,
-                  price_median: str = "raw") -> DataFrame:
-    """Clean records of everything loaded so far."""
-    records = spark.read.parquet(f"{store}/records").drop("batch")
-    counts = imputation.merge_counts(spark.read.parquet(f"{store}/counts"))
+def clean_history(spark: SparkSession, store: str, price_median: str = "raw") -> DataFrame:
+    """Clean records of everything loaded so far.
+
+    A batch counts once both its records and their counts are there, so a
+    reader never mixes records with statistics that lack them.
+    """
+    records, counts = (spark.read.parquet(f"{store}/{part}") for part in ("records", "counts"))
+    complete = counts.select("batch").distinct()
+    records = records.join(complete, "batch", "left_semi").drop("batch")
+    counts = imputation.merge_counts(counts)
     statistics = imputation.fit(stage_table(counts, "value-counts"), price_median)
-    return clean_records(records, statistics, vocabulary)
+    return clean_records(records, statistics)
