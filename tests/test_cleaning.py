@@ -169,7 +169,7 @@ def test_empty_input(spark):
     got = clean.clean_sales(frames.raw(spark, {}).limit(0))
     assert got.count() == 0
     assert got.dtypes == [("transaction_id", "string"), ("item", "string"),
-                          ("quantity", "decimal(12,2)"), ("price_per_unit", "decimal(18,6)"),
+                          ("quantity", "decimal(18,2)"), ("price_per_unit", "decimal(18,6)"),
                           ("total_spent", "decimal(18,2)"), ("payment_method", "string"),
                           ("location", "string"), ("transaction_date", "date")]
 
@@ -234,3 +234,50 @@ def test_typed_csv_round_trip(spark, folder):
     df = frames.clean(spark, ("Tea", 2, "1.5", "2023-01-05"))
     files.write_table(df, f"{folder}/clean", "csv")
     assert files.read_clean(spark, f"{folder}/clean", "csv").collect() == df.collect()
+
+
+PADS = (" ", "\t", " ", "　")
+
+
+def test_padding_in_every_column_changes_nothing(spark):
+    names = ("item", "quantity", "price_per_unit", "total_spent", "payment_method", "location",
+             "transaction_date")
+    plain = dict(zip(frames.schemas.RAW_COLUMNS, frames.RAW))
+    rows = [{**{n: f"{a}{plain[n]}{b}" for n in names}, "transaction_id": f"P{i}"}
+            for i, (a, b) in enumerate((a, b) for a in PADS for b in PADS)]
+    raw = frames.raw(spark, {"transaction_id": "P"}, *rows)
+    fused = cleaning.standardised_records(raw)
+    assert fused.drop("transaction_id").distinct().count() == 1 and fused.count() == 17
+    stepwise = cleaning.reconcile_totals(cleaning.standardise_categoricals(cleaning.typed_records(raw)))
+    assert sorted(fused.collect()) == sorted(stepwise.select(*fused.columns).collect())
+
+
+def test_a_vocabulary_may_hold_a_token(spark):
+    from tallybook.config import Vocabulary
+    words = Vocabulary(("NA", "Tea"), ("Cash",), ("In-Store",))
+    raw = numbered(spark, "item", ["NA", " NA ", "tea"])
+    assert column(cleaning.standardised_records(raw, words), "item") == [None, "NA", "Tea"]
+
+
+def test_large_numbers_are_kept_or_counted(spark):
+    raw = numbered(spark, "quantity", ["99999999999", "1" + "0" * 20, "x"])
+    assert column(cleaning.standardised_records(raw), "quantity") == [99999999999, None, None]
+    counts = {r.column_name: (r.coerced, r.out_of_range)
+              for r in profiling.coercion_counts(cleaning.normalise_tokens(raw)).collect()}
+    assert counts["quantity"] == (2, 1)
+
+
+def test_csv_files_may_order_their_columns_differently(spark, folder):
+    import os
+    os.makedirs(f"{folder}/csv")
+    head = "Transaction ID,Item,Quantity,Price Per Unit,Total Spent,Payment Method,Location,Transaction Date"
+    with open(f"{folder}/csv/a.csv", "w") as out:
+        out.write(head + "\nA,Cake,1,2,2,Cash,\"In\nStore\",2023-01-05\n")
+    turned = ",".join(reversed(head.split(",")))
+    with open(f"{folder}/csv/b.csv", "w") as out:
+        out.write(turned + ",Note\n2023-01-06,Takeaway,Cash,2,2,1,Tea,B,hello\n2023-01-07,x\n")
+    raw = files.read_raw_csv(spark, f"{folder}/csv/*.csv", malformed="broken")
+    rows = {r.transaction_id: r for r in raw.collect()}
+    assert (rows["A"].item, rows["A"].location, rows["A"].note) == ("Cake", "In\nStore", None)
+    assert (rows["B"].item, rows["B"].transaction_date, rows["B"].note) == ("Tea", "2023-01-06", "hello")
+    assert files.malformed_records(raw, "broken").first() == (3, 1)

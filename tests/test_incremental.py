@@ -19,3 +19,12 @@ def test_batches_end_as_one_clean_table(spark, folder):
     whole = clean.clean_sales(frames.raw(spark, *first, *second))
     assert sorted(incremental.clean_history(spark, store).collect()) == sorted(whole.collect())
     assert whole.count() == 5
+
+
+def test_original_column_names_load(spark, folder):
+    source, store = f"{folder}/in", f"{folder}/store"
+    raw = frames.raw(spark, {"transaction_id": "A"}, {"transaction_id": "B", "transaction_date": " 2023-01-06\t"})
+    titled = raw.toDF(*[c.replace("_", " ").title() for c in raw.columns])
+    files.write_table(titled.select(*reversed(titled.columns)), source, "csv")
+    incremental.load_new_files(spark, source, store)
+    assert incremental.clean_history(spark, store).count() == 2

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from tallybook.config import Vocabulary
 from tallybook.operators import aggregates, cleaning, features, imputation
 from tallybook.plans import clean, registry
 from tallybook.sources.sample_tables import SAMPLE, SAMPLE_COST_RATES, raw_sales
@@ -23,7 +24,9 @@ def stored(spark, small, tmp_path_factory):
 
 
 def test_row_local_cleaning_does_not_shuffle(stored):
-    assert "Exchange" not in plan(stored[0])
+    text = plan(stored[0])
+    # The only join is the item lookup, and its side is small.
+    assert "Exchange hashpartitioning" not in text and text.count("BroadcastHashJoin") == 1
 
 
 def test_statistics_come_from_one_scan(stored):
@@ -36,23 +39,46 @@ def test_statistics_come_from_one_scan(stored):
 
 def test_cleaning_shuffles_once(stored):
     standardised, statistics = stored
-    text = plan(clean.clean_records(standardised, statistics, SAMPLE))
+    text = plan(clean.clean_records(standardised, statistics))
     assert text.count("Exchange hashpartitioning") == 1
-    assert text.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in text
+    # One for the item lookup, one for the item statistics.
+    assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
     # The raw total is not read: it follows from quantity and price.
     assert not re.search(r"total_spent:string", text)
 
 
-def test_large_vocabulary_is_not_forced_to_broadcast(stored, monkeypatch):
+def test_items_are_never_forced_to_broadcast(stored):
     standardised, statistics = stored
-    monkeypatch.setattr(imputation, "BROADCAST_ITEM_LIMIT", 3)
-    joined = imputation.with_item_statistics(standardised, statistics, SAMPLE)
+    joined = imputation.with_item_statistics(standardised, statistics)
     assert "hint" not in joined._jdf.queryExecution().analyzed().toString().lower()
 
 
+def test_large_vocabulary_adds_no_expression(spark, stored):
+    items = Vocabulary(tuple(f"Item {i}" for i in range(10_000)), ("Cash",), ("Here",))
+    raw = spark.createDataFrame([(f"item {i}", "cash", "here") for i in range(50)],
+                                "item string, payment_method string, location string")
+    found = cleaning.standardise_categoricals(raw, items)
+    assert found.filter("item IS NULL").count() == 0 and found.count() == 50
+    assert len(plan(found)) < 20_000
+
+
+def test_windows_of_products_are_not_in_one_task(spark, small):
+    for name in ("measure_mom_calendar", "view_driver_tree", "view_price_volume"):
+        text = plan(registry.queries()[name](spark, small))
+        assert not re.search(r"Window[^\n]*\n(?:[^\n]*Sort[^\n]*\n)?[^\n]*Exchange SinglePartition", text)
+
+
+def test_slicers_prune_months(spark, small, folder):
+    from tallybook.operators import measures
+    from tallybook.sources import files
+    files.write_table(registry.Tables(spark, small).engineered(), f"{folder}/sales", "parquet", ("year_month",))
+    sales = measures.in_context(files.read_engineered(spark, f"{folder}/sales"), "1997-03-01", "1997-04-30")
+    assert re.search(r"PartitionFilters: \[[^\]]*year_month", plan(sales))
+
+
 def test_rollup_adds_up_before_its_shuffle(stored):
     standardised, statistics = stored
-    sales = features.engineer(clean.clean_records(standardised, statistics, SAMPLE), SAMPLE_COST_RATES)
+    sales = features.engineer(clean.clean_records(standardised, statistics), SAMPLE_COST_RATES)
     text = plan(aggregates.daily_rollup(sales))
     assert text.count("Exchange hashpartitioning") == 2 and "partial_sum" in text
     assert "Window" not in text and "Exchange SinglePartition" not in text
