@@ -4,12 +4,14 @@ A byte-level tokenizer first cuts a text by a pattern of letters, digits, other
 space, and never joins bytes across such a cut. Some of the cuts can be seen from two or three
 bytes: at a single space or line feed between characters that are no white space, and between a
 Latin letter and an ASCII sign. Texts are cut there, each distinct piece is encoded once by the
-tokenizers library, and the ids are put together again by index. The result is the library's own
+tokenizers library, and the ids are put together again by index. Words that the file adds to the
+vocabulary are found before all else, so each is a piece of its own. The result is the library's own
 for the whole text.
 """
 
 from __future__ import annotations
 
+import re
 from itertools import chain
 
 import numpy as np
@@ -33,7 +35,19 @@ _KIND[0xC3] = _LEAD
 _KIND[[0x20, 0x0A]] = _WHITE
 
 
-def cuts(data: np.ndarray, limits: np.ndarray) -> np.ndarray:
+def added_words(data: np.ndarray, limits: np.ndarray, pattern: re.Pattern) -> list[tuple[int, int]]:
+    """Start and end of each added word that lies within one row."""
+    found, text, at = [], data.tobytes(), 0
+    while match := pattern.search(text, at):
+        start, at = match.span()
+        if at <= limits[np.searchsorted(limits, start, "right")]:
+            found.append((start, at))
+        else:
+            at = start + 1
+    return found
+
+
+def cuts(data: np.ndarray, limits: np.ndarray, pattern: re.Pattern | None = None) -> np.ndarray:
     """Places at which a piece begins, the start of every row that has text included."""
     n = len(data)
     kind = _KIND[data]
@@ -51,6 +65,10 @@ def cuts(data: np.ndarray, limits: np.ndarray) -> np.ndarray:
     feed = alone & (data == 0x0A)
     sign = (kind[1:] == _SIGN) & (kind[:-1] == _LETTER)
     cut[1:] |= sign | feed[:-1]
+    for start, end in added_words(data, limits, pattern) if pattern else ():
+        cut[start + 1:end] = False
+        cut[start] = True
+        cut[end:end + 1] = True
     cut[limits[:-1][limits[1:] > limits[:-1]]] = True
     return np.flatnonzero(cut)
 
@@ -62,6 +80,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(x.lstrip or x.rstrip or x.single_word for x in added):
+            raise ValueError(f"{path}: added words that depend on their surroundings are not supported")
+        longest_first = sorted((x.content.encode() for x in added), key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, longest_first))) if longest_first else None
         self.forget()
 
     def forget(self) -> None:
@@ -90,7 +113,7 @@ class Encoder:
         rows = len(limits) - 1
         if len(data) == 0:
             return np.zeros(0, np.int32), np.zeros(rows + 1, np.int64)
-        starts = cuts(data, limits)
+        starts = cuts(data, limits, self.added)
         edges = np.append(starts, len(data)).astype(np.int64)
         pieces = pa.Array.from_buffers(pa.large_string(), len(starts),
                                        [None, pa.py_buffer(edges), pa.py_buffer(data)])
