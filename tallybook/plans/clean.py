@@ -39,11 +39,9 @@ def run_cleaning(raw: DataFrame, output_path: str, vocabulary: Vocabulary = SHOP
                  tokens: tuple[str, ...] | None = None) -> DataFrame:
     """Clean, check and write; a failed check raises and leaves the output as it was.
 
-    The clean rows are staged first, so that the check and the final write read
-    them back instead of running the cleaning twice.
+    The rows are written once; the check reads them back instead of cleaning twice.
     """
-    spark = raw.sparkSession
-    clean = stage_table(clean_sales(raw, vocabulary, price_median), "clean")
-    validation.require(validation.validate_clean(clean, vocabulary, tokens=tokens))
-    files.write_table(clean, output_path, file_format)
-    return files.read_typed(spark, output_path, clean.schema, file_format)
+    def check(stored: DataFrame) -> None:
+        validation.require(validation.validate_clean(stored, vocabulary, tokens=tokens))
+
+    return files.publish_table(clean_sales(raw, vocabulary, price_median), output_path, check, file_format)

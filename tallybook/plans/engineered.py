@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -17,18 +18,23 @@ def run_features(clean: DataFrame, output_path: str, file_format: str = "parquet
                  default_rate: str = COGS_RATE) -> DataFrame:
     """Engineer, check and write; Parquet is laid out by month.
 
-    A failed check raises before anything is written. The cost identity is
-    only checked for the flat rate; per-item rates have no single one.
+    A failed check raises and leaves the output as it was; an overall margin
+    other than the rate implies only warns. The cost identity and the margin
+    are checked for the flat rate alone; per-item rates have no single one.
     """
-    spark = clean.sparkSession
-    engineered = stage_table(features.engineer(clean, rates, default_rate), "engineered")
-    report = validation.validate_features(engineered, default_rate)
-    if rates is not None:
-        report = report.filter("check_name <> 'cost_identity'")
-    validation.require(report)
+    def check(stored: DataFrame) -> None:
+        report = validation.validate_features(stored, default_rate)
+        if rates is not None:
+            report = report.filter("check_name <> 'cost_identity'")
+        validation.require(report)
+        margin = None if rates is not None else validation.validate_margin(stored, default_rate).first()
+        if margin and margin.deviates:
+            warnings.warn(f"margin {margin.actual_margin_pct:.2f}, expected {margin.expected_margin_pct:.2f}",
+                          stacklevel=2)
+
     partitions = ("year_month",) if file_format == "parquet" else ()
-    files.write_table(engineered, output_path, file_format, partitions)
-    return files.read_typed(spark, output_path, engineered.schema, file_format)
+    return files.publish_table(features.engineer(clean, rates, default_rate), output_path, check,
+                               file_format, partitions)
 
 
 def sales_rollup(engineered: DataFrame) -> DataFrame:

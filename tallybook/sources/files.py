@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import csv
 import re
+import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -130,6 +132,28 @@ def write_table(df: DataFrame, path: str, file_format: str = "parquet",
     writer.format(file_format).save(path)
 
 
+def publish_table(df: DataFrame, path: str, check: Callable[[DataFrame], None],
+                  file_format: str = "parquet", partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` once beside ``path``, ``check`` the stored rows, then put them in its place.
+
+    A check that raises removes the new rows and leaves ``path`` as it was.
+    """
+    spark, context = df.sparkSession, df.sparkSession.sparkContext
+    pending = f"{path.rstrip('/')}.pending-{uuid.uuid4().hex}"
+    write_table(df, pending, file_format, partition_by)
+    new, old = (context._jvm.org.apache.hadoop.fs.Path(p) for p in (pending, path))
+    store = old.getFileSystem(context._jsc.hadoopConfiguration())
+    try:
+        check(read_typed(spark, pending, df.schema, file_format))
+    except Exception:
+        store.delete(new, True)
+        raise
+    store.delete(old, True)
+    if not store.rename(new, old):
+        raise OSError(f"checked rows stay in {pending}, {path} could not be written")
+    return read_typed(spark, path, df.schema, file_format)
+
+
 def write_report(lines: DataFrame, path: str) -> None:
     """Write report lines (section, line_no, line) as one text file, in order.
 

@@ -1,3 +1,4 @@
+import os
 from decimal import Decimal
 
 import pytest
@@ -212,6 +213,7 @@ def test_run_cleaning_writes_only_what_passes(spark, folder):
     with pytest.raises(validation.CheckFailed):
         clean.run_cleaning(bad, f"{folder}/deep/clean")
     assert spark.read.parquet(f"{folder}/deep/clean").count() == 2
+    assert os.listdir(f"{folder}/deep") == ["clean"]
 
 
 def test_csv_is_read_by_column_name(spark, folder):

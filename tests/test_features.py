@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
@@ -79,6 +80,11 @@ def test_run_features_round_trip(spark, folder):
     assert sorted(r.cost for r in as_csv.collect()) == [Decimal("0.50"), Decimal("1.00")]
     with pytest.raises(validation.CheckFailed):
         engineered.run_features(frames.clean(spark, ("Tea", 0, 1, "2023-01-01")), f"{folder}/bad")
+    # Nothing half-done stays, and a deviating margin warns.
+    assert sorted(os.listdir(folder)) == ["csv", "out"]
+    with pytest.warns(UserWarning, match="margin 0.00, expected 40.00"):
+        engineered.run_features(frames.clean(spark, ("Tea", 1, "0.01", "2023-01-01")), f"{folder}/out")
+    assert files.read_engineered(spark, f"{folder}/out").count() == 1
 
 
 def plan(df):
