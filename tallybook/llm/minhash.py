@@ -102,8 +102,16 @@ def set_print(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
-def _signature_rows(batches, size: int, rows: int, bands: int):
+def _cut(batches):
+    """Batches of a few megabytes of text, the second column, so that a signature's temporaries stay small."""
     for batch in batches:
+        _, limits = text_buffer(batch.column(1))
+        for first, last in slices(limits):
+            yield batch.slice(first, last - first)
+
+
+def _signature_rows(batches, size: int, rows: int, bands: int):
+    for batch in _cut(batches):
         count = len(batch)
         sizes, prints = np.zeros(count, np.int64), [None] * count
         values = np.zeros((count, SIGNATURE), np.int32)
@@ -126,7 +134,7 @@ def _signature_rows(batches, size: int, rows: int, bands: int):
 
 def _set_rows(batches, size: int):
     """Sets of (print, text) rows; a row whose text has another print gives none."""
-    for batch in batches:
+    for batch in _cut(batches):
         prints = batch.column(0).to_pylist()
         found = [(prints[row], hashes.view(np.int64)) for row, hashes in shingle_sets(batch.column(1), size)
                  if set_print(hashes) == prints[row]]
