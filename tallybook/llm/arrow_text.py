@@ -11,6 +11,10 @@ import pyarrow as pa
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+# Bytes with A to Z as a to z.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A"):ord("Z") + 1] += 32
+
 SLICE_BYTES = 1 << 21
 
 _random = np.random.default_rng(20240611)
@@ -47,12 +51,16 @@ def slices(limits: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int, i
         start = end
 
 
-def word_spans(data: np.ndarray, limits: np.ndarray):
-    """Start and end of every word, and the word index at which each row begins."""
+def word_spans(data: np.ndarray, limits: np.ndarray, word: np.ndarray | None = None):
+    """Start and end of every word, and the word index at which each row begins.
+
+    ``word`` marks the bytes of words; by default those that are no white space.
+    """
     if len(data) == 0:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(limits), np.int64)
-    word = ~SPACE[data]
+    if word is None:
+        word = ~SPACE[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[limits] = True
     before = np.empty_like(word)
