@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import (embedding_dedup, html_text, lm, minhash, mixing, packing, quality, sharding,
-                           token_files, topk)
+from tallybook.llm import (decontaminate, embedding_dedup, html_text, lm, minhash, mixing, packing, phrases,
+                           quality, sharding, spelling, token_files, topk)
 from tallybook.llm.workers import ship
 from tallybook.sources.staging import staging_path
 
@@ -80,8 +80,22 @@ def op10_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score_texts(read(spark, folder, "documents"), held_out)
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_variants(read(spark, folder, "documents"), alter=spelling.drop_letters(199))
+
+
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(read(spark, folder, "documents"))
+
+
+def op13_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_items(
+        read(spark, folder, "documents"), read(spark, folder, "benchmark")).drop("items")
+
+
 QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_topk, op3_sharding, op4_quality, op5_mixing,
-                                 op6_token_files, op7_minhash, op8_html, op9_packing, op10_lm)}
+                                 op6_token_files, op7_minhash, op8_html, op9_packing, op10_lm,
+                                 op11_spelling, op12_phrases, op13_decontaminate)}
 
 # The same order, budgets and cut in one statement.
 OP5_SQL = r"""
@@ -118,4 +132,67 @@ SELECT doc_id, size, source_size, target,
 FROM cut
 """
 
-ORACLE_SQL = {"op5_mixing": OP5_SQL}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Counts of all word sequences, then cuts, extensions and ranks.
+OP12_SQL = rf"""
+WITH pieces AS (
+    SELECT row_number() OVER () AS piece, lang, regexp_extract_all(t, '[^\x20\x09]+') AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang,
+                 unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS t FROM documents)),
+grams AS (
+    SELECT lang, k AS words, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM pieces, unnest([1, 2, 3]) AS s(k), unnest(range(1, len(w) + 2 - k)) AS p(i)
+    WHERE len(w) >= k GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE words = 1 GROUP BY lang),
+candidates AS (
+    SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE words > 1 AND f >= 10),
+longer AS (
+    SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a
+    FROM candidates WHERE words = 3),
+free AS (
+    SELECT * FROM candidates c WHERE NOT EXISTS (
+        SELECT 1 FROM longer x WHERE x.lang = c.lang AND x.phrase = c.phrase AND 100 * x.a >= 50 * c.a)),
+cuts AS (
+    SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS left_part,
+           array_to_string(w[k + 1:words], ' ') AS right_part
+    FROM free, unnest([1, 2]) AS s(k) WHERE k < words),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+           CAST(1000000 * CAST(c.a AS HUGEINT) * c.a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+    FROM cuts c JOIN grams x ON x.lang = c.lang AND x.phrase = c.left_part
+    JOIN grams y ON y.lang = c.lang AND y.phrase = c.right_part),
+lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+# All windows of all texts, without fingerprints.
+OP13_SQL = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, doc_id,
+           regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, w, least(10, len(w)) AS length
+    FROM (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark)
+    WHERE len(w) > 0),
+wanted AS (
+    SELECT DISTINCT item, length, array_to_string(w[i:i + length - 1], ' ') AS t
+    FROM items, unnest(range(1, len(w) + 2 - length)) AS p(i)),
+windows AS (
+    SELECT doc, i, length, array_to_string(w[i:i + length - 1], ' ') AS t
+    FROM docs, (SELECT DISTINCT length FROM wanted) AS s, unnest(range(1, len(w) + 2 - length)) AS p(i)
+    WHERE len(w) >= length),
+hits AS (SELECT doc, i, length, item FROM windows JOIN wanted USING (length, t)),
+marked AS (
+    SELECT doc, count(DISTINCT i + k) AS n_hit FROM hits, unnest(range(0, length)) AS p(k) GROUP BY doc),
+named AS (
+    SELECT doc, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM hits GROUP BY doc)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN marked USING (doc) LEFT JOIN named USING (doc)
+"""
+
+ORACLE_SQL = {"op5_mixing": OP5_SQL, "op12_phrases": OP12_SQL, "op13_decontaminate": OP13_SQL}
