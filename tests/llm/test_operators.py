@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallybook.llm import (embedding_dedup, html_text, lm, minhash, mixing, packing, quality, queries,
+from tallybook.llm import (embedding_dedup, html_text, lm, minhash, mixing, packed, packing, quality, queries,
                            sharding, token_files, tokens, topk)
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, extra string"
@@ -280,8 +280,8 @@ def test_filter_counts_are_rounded_down():
     import pandas as pd
     hashes = np.sort(np.random.default_rng(6).integers(0, 2**63, 2000, dtype=np.uint64))
     counts = np.random.default_rng(7).integers(1, 300, 2000)
-    bits = lm._fill_segment(pd.DataFrame({"segment": [0], "hashes": [lm._pack_sorted(np.sort(lm._keys(hashes)), "<u4")],
-                                          "counts": [lm._pack(counts[np.argsort(lm._keys(hashes))], "<u4")]}))["bits"][0]
+    bits = lm._fill_segment(pd.DataFrame({"segment": [0], "hashes": [packed.pack_sorted(np.sort(lm._keys(hashes)), "<u4")],
+                                          "counts": [packed.pack(counts[np.argsort(lm._keys(hashes))], "<u4")]}))["bits"][0]
     found = lm._counts_from(np.frombuffer(bits, np.uint8), lm._keys(hashes), np.zeros(2000, np.int64))
     assert (found == 2.0 ** np.floor(np.log2(counts))).mean() > 0.999
     absent = np.random.default_rng(9).integers(0, 2**63, 5000, dtype=np.uint64)
