@@ -11,18 +11,32 @@ cannot be extended because a piece begins or ends there.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.llm.arrow_text import LOWER, slices, text_buffer, word_spans
+from tallybook.llm.arrow_text import LOWER, mix, shingle_hashes, slices, text_buffer, word_hashes, word_spans
+from tallybook.llm.bloom import bit_table, power_of_two, probe, probe_positions
+from tallybook.llm.packed import pack, pack_sorted, unpack, unpack_sorted
 from tallybook.llm.spread import spread_join
 from tallybook.llm.stage import stage
 
-SHARD_BYTES = 6 << 20
-# Parts of a language in which its best phrases are picked before the last pick.
+SHARD_BYTES = 2 << 20
+# Rows of shards that a task adds up before they are shuffled.
+HELD_ROWS = 1 << 17
+# Text whose phrases' hashes are added up at once.
+SEGMENT_BYTES = 16 << 20
+PROBES = 5
+BITS_PER_KEY = 16
+# The bound of the table of frequent phrases; beyond it more rare ones are counted in vain.
+TABLE_BYTES = 64 << 20
+# Parts of a language in which its best phrases are picked before the last pick, which sees so many times
+# the wanted phrases at most, however many candidates there are.
 PICKS = 32
 
 _BREAK = np.zeros(256, dtype=bool)
@@ -76,56 +90,145 @@ class ShardIndex:
         return found
 
 
-def _shard(langs: pa.Array, data: np.ndarray, limits: np.ndarray, depth: int):
-    data = LOWER[data]
-    starts, ends, rows = word_spans(data, limits, ~_GAP[data])
-    n = len(starts)
-    if n == 0:
-        return
-    # The bytes of all words without what separates them, numbered by text and language.
-    kept = pa.py_buffer(data[~_GAP[data]])
-    offsets = np.concatenate([[0], np.cumsum(ends - starts)])
-    words = pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(offsets), kept]).dictionary_encode()
-    langs = langs.fill_null("und").dictionary_encode()
-    kinds = len(langs.dictionary)
-    lang = np.repeat(np.asarray(langs.indices), np.diff(rows))
-    keys, ids = np.unique(np.asarray(words.indices).astype(np.int64) * kinds + lang, return_inverse=True)
-    text = words.dictionary.take(pa.array(keys // kinds))
-    of_lang = langs.dictionary.take(pa.array(keys % kinds))
+class _Shard:
+    """The words of some texts: places, numbers by spelling and language, hashes and pieces."""
 
-    # A zero after the last word of each piece.
-    breaks = np.cumsum(_BREAK[data])[starts]
-    last = np.empty(n, dtype=bool)
-    last[-1] = True
-    last[:-1] = breaks[1:] != breaks[:-1]
-    last[rows[1:][rows[1:] > 0] - 1] = True
-    sequence = np.insert((ids + 1).astype(np.int32), np.flatnonzero(last) + 1, 0)
-    index = ShardIndex(sequence, depth)
-    for length, (begin, count, starts_, ends_) in enumerate(index.levels(), 1):
-        parts = [pa.array(x - 1) for x in index.symbols(begin, length)]
-        phrase = text.take(parts[0])
-        if length > 1:
-            phrase = pc.binary_join_element_wise(*(text.take(x) for x in parts), pa.scalar(" ", pa.large_string()))
-        yield pa.RecordBatch.from_arrays(
-            [of_lang.take(parts[0]).cast(pa.string()), pa.array(np.full(len(begin), length, np.int32)),
-             phrase.cast(pa.string()), *(pa.array(x.astype(np.int64)) for x in (count, starts_, ends_))], names=NAMES)
-    totals = np.bincount(lang, minlength=kinds)
-    none = pa.array(np.zeros(kinds, np.int64))
-    yield pa.RecordBatch.from_arrays(
-        [langs.dictionary.cast(pa.string()), pa.array(np.zeros(kinds, np.int32)), pa.array([""] * kinds, pa.string()),
-         pa.array(totals.astype(np.int64)), none, none], names=NAMES)
+    def __init__(self, langs: pa.Array, data: np.ndarray, limits: np.ndarray):
+        self.data = data = LOWER[data]
+        self.starts, self.ends, rows = word_spans(data, limits, ~_GAP[data])
+        self.langs = langs.fill_null("und").dictionary_encode()
+        self.lang = np.repeat(np.asarray(self.langs.indices), np.diff(rows))
+        salt = np.array([zlib.crc32(x.encode()) for x in self.langs.dictionary.to_pylist()], np.uint64)
+        self.hashes = mix(word_hashes(data, self.starts, self.ends) + salt[self.lang])
+        breaks = np.cumsum(_BREAK[data])[self.starts]
+        # True for the last word of each piece.
+        self.last = np.ones(len(self.starts), dtype=bool)
+        self.last[:-1] = breaks[1:] != breaks[:-1]
+        self.last[rows[1:][rows[1:] > 0] - 1] = True
+
+    def phrase_hashes(self, depth: int) -> np.ndarray:
+        """Hashes of all occurrences of phrases of up to ``depth`` words."""
+        piece = np.cumsum(self.last) - self.last
+        found = []
+        for size in range(1, depth + 1):
+            within = piece[size - 1:] == piece[:len(piece) - size + 1]
+            found.append(shingle_hashes(self.hashes, size)[within[:max(0, len(piece) - size + 1)]])
+        return np.concatenate(found)
 
+    def numbered(self):
+        """Number of each word, and the number's text, language and hash."""
+        # The bytes of all words without what separates them.
+        kept = pa.py_buffer(self.data[~_GAP[self.data]])
+        offsets = np.concatenate([[0], np.cumsum(self.ends - self.starts)])
+        words = pa.Array.from_buffers(
+            pa.large_string(), len(self.starts), [None, pa.py_buffer(offsets), kept]).dictionary_encode()
+        kinds = len(self.langs.dictionary)
+        keys, places, ids = np.unique(np.asarray(words.indices).astype(np.int64) * kinds + self.lang,
+                                      return_index=True, return_inverse=True)
+        return (ids, words.dictionary.take(pa.array(keys // kinds)),
+                self.langs.dictionary.take(pa.array(keys % kinds)), self.hashes[places])
 
-def _shards(batches, depth: int):
+
+def _texts(batches):
     for batch in batches:
         data, limits = text_buffer(batch.column(1))
         for first, last in slices(limits, SHARD_BYTES):
             part = limits[first:last + 1]
-            yield from _shard(batch.column(0).slice(first, last - first), data[part[0]:part[-1]], part - part[0], depth)
+            shard = _Shard(batch.column(0).slice(first, last - first), data[part[0]:part[-1]], part - part[0])
+            if len(shard.starts):
+                yield shard
+
+
+def _shard_rows(shard: _Shard, depth: int, table: np.ndarray | None, shift: int):
+    """(lang, words, phrase, n, starts, ends) of a shard's phrases, those in ``table`` if there is one."""
+    ids, text, of_lang, hashes = shard.numbered()
+    # A zero after the last word of each piece.
+    sequence = np.insert((ids + 1).astype(np.int32), np.flatnonzero(shard.last) + 1, 0)
+    index = ShardIndex(sequence, depth)
+    for length, (begin, *numbers) in enumerate(index.levels(), 1):
+        symbols = [x - 1 for x in index.symbols(begin, length)]
+        if table is not None:
+            total = np.zeros(len(begin), np.uint64)
+            for k, x in enumerate(symbols, 1):
+                total = mix(total + hashes[x] + np.uint64(k))
+            kept = np.flatnonzero(probe(table, mix(total >> np.uint64(shift)), PROBES))
+            symbols, numbers = [x[kept] for x in symbols], [x[kept] for x in numbers]
+        parts = [text.take(pa.array(x)) for x in symbols]
+        phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if length > 1 else parts[0]
+        yield [of_lang.take(pa.array(symbols[0])), pa.array(np.full(len(phrase), length, np.int32)), phrase,
+               *(pa.array(x.astype(np.int64)) for x in numbers)]
+    kinds = len(shard.langs.dictionary)
+    none = pa.array(np.zeros(kinds, np.int64))
+    yield [shard.langs.dictionary, pa.array(np.zeros(kinds, np.int32)), pa.array([""] * kinds),
+           pa.array(np.bincount(shard.lang, minlength=kinds).astype(np.int64)), none, none]
+
+
+def _added(held: list[pa.Table]):
+    """One row per phrase of the tables."""
+    table = pa.concat_tables(held).group_by(list(NAMES[:3]), use_threads=False).aggregate([(c, "sum") for c in NAMES[3:]])
+    kinds = (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+    columns = [*NAMES[:3], *(f"{c}_sum" for c in NAMES[3:])]
+    table = pa.table([table[c].cast(t) for c, t in zip(columns, kinds)], names=NAMES)
+    return table.to_batches(max_chunksize=1 << 16)
+
+
+def _phrase_rows(batches, depth: int, sent, shift: int):
+    held: list[pa.Table] = []
+    for shard in _texts(batches):
+        # The pool keeps what was freed; the JVM beside it needs the memory.
+        pa.default_memory_pool().release_unused()
+        for columns in _shard_rows(shard, depth, sent and sent.value, shift):
+            held.append(pa.table([x.cast(pa.large_string()) if pa.types.is_string(x.type) else x for x in columns],
+                                 names=NAMES))
+        if sum(map(len, held)) >= HELD_ROWS:
+            yield from _added(held)
+            held = []
+    if held:
+        yield from _added(held)
+
+
+def _hash_blocks(batches, depth: int, segments: int, shift: int):
+    """Per shard and range of hashes: the phrases' hashes, shortened, and their counts."""
+    for shard in _texts(batches):
+        hashes, counts = np.unique(shard.phrase_hashes(depth) >> np.uint64(shift), return_counts=True)
+        limits = np.searchsorted((hashes << np.uint64(shift) >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32),
+                                 np.arange(segments + 1))
+        full = np.flatnonzero(np.diff(limits))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(full.astype(np.int32)),
+             pa.array([pack_sorted(hashes[limits[k]:limits[k + 1]], "<u8") for k in full], pa.binary()),
+             pa.array([pack(counts[limits[k]:limits[k + 1]], "<i4") for k in full], pa.binary())],
+            names=["segment", "hashes", "counts"])
+
+
+def _frequent_hashes(blocks: pd.DataFrame, least: int) -> pd.DataFrame:
+    hashes = np.concatenate([unpack_sorted(x, "<u8") for x in blocks["hashes"]])
+    counts = np.concatenate([unpack(x, "<i4") for x in blocks["counts"]])
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    enough = np.add.reduceat(counts[order].astype(np.int64), first) >= least
+    return pd.DataFrame({"key": mix(hashes[first[enough]]).view(np.int64)})
+
+
+def _frequent_table(rows: DataFrame, depth: int, least: int, table_bytes: int):
+    """The table of hashes that occur ``least`` times, broadcast, and how far hashes are shortened."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    segments = max(1, -(-size // SEGMENT_BYTES))
+    # Few of the hashes of so many phrases are alike.
+    shift = max(0, 64 - 8 - max(size, 1 << 20).bit_length())
+    found = stage(
+        rows.mapInArrow(lambda b: _hash_blocks(b, depth, segments, shift), "segment int, hashes binary, counts binary")
+        .groupBy("segment").applyInPandas(lambda x: _frequent_hashes(x, least), "key long"), "frequent-hashes")
+    bits = power_of_two(found.count() * BITS_PER_KEY, table_bytes * 8)
+    at = found.select(F.explode(probe_positions(F.col("key"), bits, PROBES)).alias("at"))
+    return rows.sparkSession.sparkContext.broadcast(bit_table(at, "at", bits)), shift
 
 
-def phrase_counts(df: DataFrame, max_words: int = 3, lang: str = "lang", text: str = "text") -> DataFrame:
-    """``lang``, ``words``, ``phrase``, ``n``, ``starts``, ``ends`` of all phrases of 1 to ``max_words`` words.
+def phrase_counts(df: DataFrame, max_words: int = 3, least: int = 1, lang: str = "lang", text: str = "text",
+                  table_bytes: int = TABLE_BYTES) -> DataFrame:
+    """``lang``, ``words``, ``phrase``, ``n``, ``starts``, ``ends`` of all phrases of 1 to ``max_words`` words
+    that occur ``least`` times.
 
     ``n`` counts all occurrences, overlaps included; ``starts`` of them have no word to their left in
     their piece and ``ends`` none to their right. The row with no words has the language's word count.
@@ -134,10 +237,12 @@ def phrase_counts(df: DataFrame, max_words: int = 3, lang: str = "lang", text: s
     further columns do not matter; an empty table gives no rows. A very long text is a shard of its own.
     """
     rows = df.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+    sent, shift = _frequent_table(rows, max_words, least, table_bytes) if least > 1 else (None, 0)
     return (
-        rows.mapInArrow(lambda b: _shards(b, max_words), SCHEMA)
+        rows.mapInArrow(lambda b: _phrase_rows(b, max_words, sent, shift), SCHEMA)
         .groupBy("lang", "words", "phrase")
         .agg(*[F.sum(c).alias(c) for c in ("n", "starts", "ends")])
+        .where((F.col("n") >= least) | (F.col("words") == 0))
     )
 
 
@@ -162,8 +267,7 @@ def collocations(df: DataFrame, max_words: int = 3, least: int = 10, inside: int
     Parts of a candidate occur at least as often as it does, and so does every phrase inside a longer
     candidate: only frequent phrases are stored and joined, and one word more is the only extension to look at.
     """
-    counts = stage(phrase_counts(df, max_words, lang, text).where((F.col("n") >= least) | (F.col("words") == 0)),
-                   "frequent-phrases")
+    counts = stage(phrase_counts(df, max_words, least, lang, text), "frequent-phrases")
     totals = counts.where("words = 0").select("lang", F.col("n").alias("total"))
     phrases = counts.where("words > 0").select("lang", "words", "phrase", F.col("n").alias("a"))
 

@@ -154,6 +154,19 @@ def best_phrases(texts, least, top):
             for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1)}
 
 
+@pytest.mark.parametrize("table_bytes", [4096, 1 << 20])
+def test_frequent_phrases_equal_brute_force(spark, monkeypatch, table_bytes):
+    """Several shards and hash ranges, and a table too small for its keys."""
+    monkeypatch.setattr(phrases, "SEGMENT_BYTES", 20_000)
+    rng = np.random.default_rng(8)
+    texts = [(k, " ".join(f"w{x}" for x in rng.zipf(1.3, 300) % 5000)) for k in range(200)]
+    df = spark.createDataFrame([(t, LANGS[k % 5]) for k, t in texts], "text string, lang string").repartition(7)
+    counts, starts, ends, _ = phrase_table(texts)
+    got = rows_of(phrases.phrase_counts(df, 3, 4, table_bytes=table_bytes).where("words > 0"))
+    assert {(r["lang"], r["phrase"]): (r["n"], r["starts"], r["ends"]) for r in got} == {
+        k: (n, starts[k], ends[k]) for k, n in counts.items() if n >= 4}
+
+
 @pytest.mark.parametrize("least,top", [(2, 2000), (10, 2000), (2, 7)])
 def test_collocations_equal_brute_force(docs, least, top):
     got = rows_of(phrases.collocations(docs, least=least, top=top))
