@@ -92,15 +92,15 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of every word with A to Z taken as a to z."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, byte: np.ndarray = _BYTE) -> np.ndarray:
+    """64-bit hash of every word; by default with A to Z taken as a to z."""
     n = len(data)
     if n == 0:
         return np.zeros(0, np.uint64)
     power, inverse = _power_tables(n)
     sums = np.empty(n + 1, dtype=np.uint64)
     sums[0] = 0
-    np.cumsum(_BYTE[data] * power, out=sums[1:])
+    np.cumsum(byte[data] * power, out=sums[1:])
     return mix((sums[ends] - sums[starts]) * inverse[starts])
 
 

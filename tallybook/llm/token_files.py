@@ -11,7 +11,6 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -70,7 +69,8 @@ def write_tokens(df: DataFrame, folder: str, path: str, id_column: str = "doc_id
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """The rows of a data set with ``start``: the ids of all documents before this one.
 
-    Only the counts are read for the starts of files, one row per file.
+    Only the counts are read for the starts of files, one row per file; those are broadcast, so that the
+    lists of tokens are not shuffled.
     """
     rows = spark.read.parquet(folder)
     before = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
@@ -79,7 +79,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
         .select("file_no", F.coalesce(F.sum("__ids").over(before), F.lit(0)).alias("__file_start"))
     )
     return (
-        rows.join(files, "file_no")
+        rows.join(F.broadcast(files), "file_no")
         .select("doc_id", (F.col("__file_start") + F.col("first")).alias("start"), "n_tokens", "tokens")
     )
 
@@ -87,8 +87,10 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
 def ids_crc32(tokens: Column) -> Column:
     """CRC-32 of a list of ids as little-endian unsigned 32-bit numbers."""
 
-    @F.pandas_udf("long")
-    def checksum(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda ids: zlib.crc32(np.asarray(ids, dtype="<u4").tobytes()))
+    @F.arrow_udf("long")
+    def checksum(lists: pa.Array) -> pa.Array:
+        numbers = memoryview(np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), "<u4")).cast("B")
+        limits = (np.asarray(lists.offsets).astype(np.int64) * 4).tolist()
+        return pa.array([zlib.crc32(numbers[a:b]) for a, b in zip(limits, limits[1:])], pa.int64())
 
     return checksum(tokens)

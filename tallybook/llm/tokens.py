@@ -17,11 +17,14 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from tallybook.llm.arrow_text import slices, text_buffer
+from tallybook.llm.arrow_text import slices, text_buffer, word_hashes
 
-# Distinct pieces a worker remembers; when there are more it forgets all and goes on.
-REMEMBERED = 1_500_000
-SLICE_BYTES = 1 << 23
+# Memory for the pieces a worker remembers; when it is used up it forgets all and goes on.
+REMEMBERED_BYTES = 64 << 20
+SLICE_BYTES = 1 << 22
+
+# Two sets of factors for hashes of pieces that tell A from a.
+_FACTORS = np.random.default_rng(20241108).integers(0, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 _LETTER, _SIGN, _LEAD, _WHITE, _UNSURE = 1, 2, 3, 4, 0
 _KIND = np.zeros(256, dtype=np.uint8)
@@ -88,25 +91,45 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids = np.zeros(1 << 20, dtype=np.int32)
-        self.limits = np.zeros(1 << 18, dtype=np.int64)
-
-    def _learn(self, pieces: list[str]) -> None:
-        known = self.known
-        for k in range(0, len(pieces), 8192):
-            part = pieces[k:k + 8192]
-            found = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            n, begin = len(known), self.limits[len(known)]
-            flat = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
-            while len(self.limits) <= n + len(part):
-                self.limits = np.concatenate([self.limits, np.zeros_like(self.limits)])
-            while len(self.ids) < begin + len(flat):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.limits[n + 1:n + 1 + len(part)] = begin + np.cumsum(lengths)
-            self.ids[begin:begin + len(flat)] = flat
-            known.update(zip(part, range(n, n + len(part))))
+        self.known = np.zeros((2, 0), np.uint64)  # two hashes of each piece, by the first
+        self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.ids = np.zeros(0, np.int32)
+
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Encodes new pieces and puts them among the known ones; where each one's ids begin, and how many."""
+        found, count = [], []
+        for k in range(0, len(pieces), 1024):
+            part = [x.ids for x in self.tokenizer.encode_batch_fast(pieces[k:k + 1024], add_special_tokens=False)]
+            count.append(np.fromiter(map(len, part), np.int32, len(part)))
+            found.append(np.fromiter(chain.from_iterable(part), np.int32, int(count[-1].sum())))
+        count = np.concatenate(count)
+        begin = len(self.ids) + np.cumsum(count, dtype=np.int64) - count
+        self.ids = np.concatenate([self.ids, *found])
+        order = np.argsort(np.concatenate([self.known[0], hashes[0]]), kind="stable")
+        self.known = np.concatenate([self.known, hashes], axis=1)[:, order]
+        self.begin = np.concatenate([self.begin, begin])[order]
+        self.count = np.concatenate([self.count, count])[order]
+        return begin, count
+
+    def _places(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each piece begin, and how many there are."""
+        text, limits = text_buffer(distinct)
+        hashes = np.stack([word_hashes(text, limits[:-1], limits[1:], x) for x in _FACTORS])
+        if self.ids.nbytes + self.known.nbytes + self.begin.nbytes + self.count.nbytes > REMEMBERED_BYTES:
+            self.forget()
+        size = self.known.shape[1]
+        at = np.minimum(np.searchsorted(self.known[0], hashes[0]), max(0, size - 1))
+        alike = self.known[:, at] == hashes if size else np.zeros(hashes.shape, dtype=bool)
+        there = alike.all(axis=0)
+        if (alike[0] & ~there).any():  # another piece with the same first hash
+            self.forget()
+            there[:] = False
+        new = np.flatnonzero(~there)
+        begin, count = np.zeros(len(there), np.int64), np.zeros(len(there), np.int64)
+        begin[there], count[there] = self.begin[at[there]], self.count[at[there]]
+        if len(new):
+            begin[new], count[new] = self._learn(hashes[:, new], distinct.take(pa.array(new)).to_pylist())
+        return begin, count
 
     def encode(self, data: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows in sequence and the limits of each row in them."""
@@ -118,15 +141,7 @@ class Encoder:
         pieces = pa.Array.from_buffers(pa.large_string(), len(starts),
                                        [None, pa.py_buffer(edges), pa.py_buffer(data)])
         table = pieces.dictionary_encode()
-        distinct = table.dictionary.to_pylist()
-        if len(self.known) + len(distinct) > REMEMBERED:
-            self.forget()
-        known = self.known
-        self._learn([x for x in distinct if x not in known])
-        number = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
-        number = number[np.asarray(table.indices)]
-        begin = self.limits[number]
-        lengths = self.limits[number + 1] - begin
+        begin, lengths = (x[np.asarray(table.indices)] for x in self._places(table.dictionary))
         ends = np.cumsum(lengths)
         place = np.arange(ends[-1]) + np.repeat(begin - ends + lengths, lengths)
         before = np.concatenate([[0], ends])
@@ -148,3 +163,5 @@ def token_slices(column: pa.Array, path: str):
     for start, end in slices(limits, SLICE_BYTES):
         part = limits[start:end + 1]
         yield start, end, *encoder(path).encode(data[part[0]:part[-1]], part - part[0])
+        # The pool keeps what was freed; the JVM beside it needs the memory.
+        pa.default_memory_pool().release_unused()
