@@ -15,36 +15,31 @@ WHITESPACE = "".join(map(chr, (
 )))
 
 
-def _visible_ends(col: Column) -> Column:
-    """True where the first and last character are visible ASCII.
-
-    Such text needs no trimming. Comparing two characters is far cheaper than
-    trimming against a character set, and nearly all values pass.
-    """
-    return col.between("!", "\x7f") & F.substring(col, -1, 1).between("!", "\x7f")
+# Each function below names its input as few times as it can: Catalyst puts the expression that computes
+# the input in each of those places, above all in filters.
 
 
 def trimmed(col: Column) -> Column:
-    return F.when(_visible_ends(col), col).otherwise(F.btrim(col, F.lit(WHITESPACE)))
+    return F.btrim(col, F.lit(WHITESPACE))
 
 
 def known_text(col: Column, tokens: Iterable[str]) -> Column:
     """The trimmed text; null where it is blank or, untrimmed, one of ``tokens``."""
-    return (
-        F.when(col.isin(*tokens), None)
-        .when(_visible_ends(col), col)
-        .otherwise(F.nullif(F.btrim(col, F.lit(WHITESPACE)), F.lit("")))
-    )
+    inner = trimmed(col)
+    return F.when(~col.isin(*tokens) & (inner != ""), inner)
+
+
+def _inner(col: Column, shape: str) -> Column:
+    """The text without white space around it where that has the given shape, else empty text."""
+    return F.regexp_extract(col, rf"\A[{WHITESPACE}]*({shape})[{WHITESPACE}]*\z", 1)
 
 
 def number(col: Column, dtype: DataType) -> Column:
-    """The text as a decimal, null when it is no number.
+    """The text as a number, null when it is none.
 
-    Text from ':' on, letters among it, cannot start a number. Sparing it the
-    cast spares the exception the parser raises inside.
+    What cannot be a number is kept from the cast, which would raise and catch an exception for it.
     """
-    col = trimmed(col)
-    return F.when(col < ":", col.try_cast(dtype))
+    return F.nullif(_inner(col, "[-+.0-9][-+.0-9eE]*"), F.lit("")).try_cast(dtype)
 
 
 def iso_date(col: Column) -> Column:
@@ -53,12 +48,7 @@ def iso_date(col: Column) -> Column:
     A plain cast would also take a bare year or a date with a time behind it.
     White space around the date does not count.
     """
-    col = trimmed(col)
-    shape = (
-        (F.length(col) == 10) & (F.substring(col, 5, 1) == "-") & (F.substring(col, 8, 1) == "-")
-        & col.between("0", ":") & F.substring(col, 10, 1).between("0", "9")
-    )
-    return F.when(shape, col.try_cast("date"))
+    return _inner(col, "[0-9]{4}-[0-9]{2}-[0-9]{2}").try_cast("date")
 
 
 def spellings(values: Iterable[str], aliases: Mapping[str, str]) -> dict[str, str]:

@@ -7,8 +7,8 @@ import os
 
 import duckdb
 
-KINDS = {"bigint": "int", "string": "text", "double": "real", "boolean": "bool"}
-DUCK_KINDS = {"BIGINT": "int", "VARCHAR": "text", "DOUBLE": "real", "BOOLEAN": "bool"}
+KINDS = {"bigint": "int", "int": "int", "string": "text", "double": "real", "boolean": "bool"}
+DUCK_KINDS = {"BIGINT": "int", "INTEGER": "int", "VARCHAR": "text", "DOUBLE": "real", "BOOLEAN": "bool"}
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
