@@ -134,6 +134,59 @@ FROM cut
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# Classes of linked ids from ``links`` (a, b), both directions, for the ids of ``nodes``.
+_CLASSES = """
+reached AS (
+    SELECT id AS a, id AS b FROM nodes
+    UNION
+    SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+classes AS (SELECT a AS id, min(b) AS component_id FROM reached GROUP BY a)"""
+
+OP1_SQL = f"""
+WITH RECURSIVE nodes AS (SELECT vec_id AS id FROM embeddings),
+vectors AS (
+    SELECT vec_id, label, v, sqrt(list_inner_product(v, v)) AS size
+    FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+    WHERE len([x FOR x IN v IF x IS NULL OR NOT isfinite(x)]) = 0),
+links AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y ON x.label = y.label AND x.vec_id <> y.vec_id
+    WHERE x.size > 0 AND y.size > 0 AND list_inner_product(x.v, y.v) / (x.size * y.size) >= 0.93),
+{_CLASSES},
+counted AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, id = component_id AS kept
+FROM classes LEFT JOIN counted USING (id)
+"""
+
+OP2_SQL = """
+WITH vectors AS (
+    SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+    WHERE len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([z[1] * z[2] FOR z IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+OP7_SQL = rf"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+    FROM words, unnest(range(1, greatest(len(w) - 1, 2))) AS p(i) WHERE len(w) > 0),
+nodes AS (SELECT doc_id AS id, count(s) AS size FROM documents LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
+shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+    SELECT a, b FROM shared JOIN nodes p ON p.id = a JOIN nodes q ON q.id = b
+    WHERE 100 * n >= 85 * (p.size + q.size - n)),
+{_CLASSES}
+SELECT id AS doc_id, size AS n_shingles, component_id, id = component_id AS kept
+FROM nodes JOIN classes USING (id)
+"""
+
 # Counts of all word sequences, then cuts, extensions and ranks.
 OP12_SQL = rf"""
 WITH pieces AS (
@@ -195,4 +248,5 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN marked USING (doc) LEFT JOIN named USING (doc)
 """
 
-ORACLE_SQL = {"op5_mixing": OP5_SQL, "op12_phrases": OP12_SQL, "op13_decontaminate": OP13_SQL}
+ORACLE_SQL = {"op1_embedding_dedup": OP1_SQL, "op2_topk": OP2_SQL, "op5_mixing": OP5_SQL, "op7_minhash": OP7_SQL,
+              "op12_phrases": OP12_SQL, "op13_decontaminate": OP13_SQL}
