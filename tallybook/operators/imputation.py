@@ -39,10 +39,14 @@ def _in_set(*present: str) -> Column:
     return F.col("set_id") == _set_id(present)
 
 
-def value_counts(standardised: DataFrame) -> DataFrame:
-    """How often each value occurs: (item, quantity), (item, price), payment, location."""
+def value_counts(standardised: DataFrame, copies: str | None = None) -> DataFrame:
+    """How often each value occurs: (item, quantity), (item, price), payment, location.
+
+    ``copies`` names a column that says how many records a row stands for.
+    """
+    number = F.sum(copies) if copies else F.count(F.lit(1))
     return standardised.groupingSets([list(s) for s in _SETS], *_COUNTED).agg(
-        F.grouping_id().alias("set_id"), F.count(F.lit(1)).alias("n"))
+        F.grouping_id().alias("set_id"), number.alias("n"))
 
 
 def merge_counts(counts: DataFrame) -> DataFrame:

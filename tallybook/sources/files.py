@@ -52,7 +52,7 @@ def first_lines(spark: SparkSession, files: list[str]) -> list[str | None]:
         return list(pool.map(line, files))
 
 
-def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+def csv_headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
     """Header -> the CSV files that have it; the driver keeps file names and headers.
 
     Files without a line are left out.
@@ -66,7 +66,7 @@ def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[st
     return layouts
 
 
-def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True,
+def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True,
                  malformed: str | None = None) -> DataFrame:
     """Raw records with a header row, every column text, found by name.
 
