@@ -24,10 +24,11 @@ def require(report: DataFrame) -> None:
         raise CheckFailed("; ".join(f"{r.check_name}: {r.violations}" for r in failed))
 
 
-def _as_rows(counted: DataFrame, names: list[str]) -> DataFrame:
+def as_rows(counted: DataFrame) -> DataFrame:
+    """One row per check from a one-row table with a column for each."""
     entries = [
         F.struct(F.lit(n).alias("check_name"), F.col(n).cast("bigint").alias("violations"))
-        for n in names
+        for n in counted.columns
     ]
     rows = counted.select(F.explode(F.array(*entries)).alias("row")).select("row.*")
     return rows.withColumn("passed", F.col("violations") == 0)
@@ -42,13 +43,9 @@ def _schema_mismatch(df: DataFrame, expected: dict[str, type[T.DataType]]) -> in
     return sum(not isinstance(actual.get(c), t) for c, t in expected.items())
 
 
-def validate_clean(df: DataFrame, vocabulary: Vocabulary = SHOP,
-                   tokens: tuple[str, ...] | None = None) -> DataFrame:
-    """The six checks on clean records.
-
-    ``tokens`` overrides the tokens looked for; by default they are the
-    vocabulary's, without the empty string.
-    """
+def clean_figures(df: DataFrame, vocabulary: Vocabulary = SHOP,
+                  tokens: tuple[str, ...] | None = None) -> dict[str, Column]:
+    """Violations of each check on clean records, as aggregates."""
     looked_for = tokens if tokens is not None else tuple(t for t in vocabulary.invalid_tokens if t)
     text_columns = [n for n, t in df.dtypes if t == "string"]
 
@@ -61,17 +58,28 @@ def validate_clean(df: DataFrame, vocabulary: Vocabulary = SHOP,
         F.col(name).isNull() | ~F.col(name).isin(*values)
         for name, values, _ in vocabulary.columns()
     ]
-    counted = df.agg(
-        over([F.col(c).isNull() for c in df.columns]).alias("no_nulls"),
-        over([F.col(c).isin(*looked_for) for c in text_columns]).alias("no_invalid_tokens"),
-        F.lit(_schema_mismatch(df, {c: T.DecimalType for c in NUMERIC_COLUMNS}))
-        .alias("numeric_types"),
-        F.lit(_schema_mismatch(df, {"transaction_date": T.DateType})).alias("date_type"),
-        F.count_if(off).alias("total_is_quantity_times_price"),
-        over(outside).alias("categories_in_vocabulary"),
-    )
-    return _as_rows(counted, ["no_nulls", "no_invalid_tokens", "numeric_types", "date_type",
-                              "total_is_quantity_times_price", "categories_in_vocabulary"])
+    return {
+        "no_nulls": over([F.col(c).isNull() for c in df.columns]),
+        "no_invalid_tokens": over([F.col(c).isin(*looked_for) for c in text_columns]),
+        "numeric_types": F.lit(_schema_mismatch(df, {c: T.DecimalType for c in NUMERIC_COLUMNS})),
+        "date_type": F.lit(_schema_mismatch(df, {"transaction_date": T.DateType})),
+        "total_is_quantity_times_price": F.count_if(off),
+        "categories_in_vocabulary": over(outside),
+    }
+
+
+def _counted(df: DataFrame, figures: dict[str, Column]) -> DataFrame:
+    return as_rows(df.agg(*[c.alias(k) for k, c in figures.items()]))
+
+
+def validate_clean(df: DataFrame, vocabulary: Vocabulary = SHOP,
+                   tokens: tuple[str, ...] | None = None) -> DataFrame:
+    """The six checks on clean records.
+
+    ``tokens`` overrides the tokens looked for; by default they are the
+    vocabulary's, without the empty string.
+    """
+    return _counted(df, clean_figures(df, vocabulary, tokens))
 
 
 REQUIRED_FEATURES = ("revenue", "cost", "profit", "profit_margin_pct", "day", "day_of_week",
@@ -79,6 +87,24 @@ REQUIRED_FEATURES = ("revenue", "cost", "profit", "profit_margin_pct", "day", "d
 REQUIRED_FEATURES_V1 = ("revenue", "cost", "profit", "day", "month", "quarter", "year")
 
 
+def feature_figures(df: DataFrame, rate: str = COGS_RATE, tolerance: str = TOTAL_TOLERANCE,
+                    required: tuple[str, ...] = REQUIRED_FEATURES) -> dict[str, Column]:
+    """Violations of each check on engineered rows, as aggregates."""
+    present = [c for c in required if c in df.columns]
+    gaps = sum((F.count_if(F.col(c).isNull()) for c in present), F.lit(0))
+    product = F.col("quantity") * F.col("price_per_unit")
+    cost = F.col("revenue") * F.lit(rate).cast("decimal(4,2)")
+    if tolerance == "0":
+        cost = F.round(cost, 2)
+    return {
+        "features_present": F.lit(len(required) - len(present)),
+        "features_filled": gaps,
+        "revenue_identity": F.count_if(_beyond(F.col("revenue") - product, tolerance)),
+        "cost_identity": F.count_if(_beyond(F.col("cost") - cost, tolerance)),
+        "profit_identity": F.count_if(_beyond(F.col("profit") - (F.col("revenue") - F.col("cost")), tolerance)),
+    }
+
+
 def validate_features(df: DataFrame, rate: str = COGS_RATE, tolerance: str = TOTAL_TOLERANCE,
                       required: tuple[str, ...] = REQUIRED_FEATURES) -> DataFrame:
     """Engineered columns present and filled, money identities within tolerance.
@@ -86,30 +112,22 @@ def validate_features(df: DataFrame, rate: str = COGS_RATE, tolerance: str = TOT
     ``tolerance="0"`` asks for exact equality, as the older rules do: revenue
     with the unrounded product, cost with the rounded share of revenue.
     """
-    present = [c for c in required if c in df.columns]
-    gaps = sum((F.count_if(F.col(c).isNull()) for c in present), F.lit(0))
-    product = F.col("quantity") * F.col("price_per_unit")
-    cost = F.col("revenue") * F.lit(rate).cast("decimal(4,2)")
-    if tolerance == "0":
-        cost = F.round(cost, 2)
-    counted = df.agg(
-        F.lit(len(required) - len(present)).alias("features_present"),
-        gaps.alias("features_filled"),
-        F.count_if(_beyond(F.col("revenue") - product, tolerance)).alias("revenue_identity"),
-        F.count_if(_beyond(F.col("cost") - cost, tolerance)).alias("cost_identity"),
-        F.count_if(_beyond(F.col("profit") - (F.col("revenue") - F.col("cost")), tolerance))
-        .alias("profit_identity"),
-    )
-    return _as_rows(counted, ["features_present", "features_filled", "revenue_identity",
-                              "cost_identity", "profit_identity"])
+    return _counted(df, feature_figures(df, rate, tolerance, required))
+
+
+def margin_figures() -> dict[str, Column]:
+    return {f"total_{c}": F.sum(c) for c in ("revenue", "cost", "profit")}
 
 
 def validate_margin(df: DataFrame, rate: str = COGS_RATE, limit: float = 0.05) -> DataFrame:
     """Overall margin against the one the cost rate implies, in points."""
+    return margin_row(df.agg(*[c.alias(k) for k, c in margin_figures().items()]), rate, limit)
+
+
+def margin_row(sums: DataFrame, rate: str = COGS_RATE, limit: float = 0.05) -> DataFrame:
     expected = (1 - float(rate)) * 100
     return (
-        df.agg(*[F.sum(c).alias(f"total_{c}") for c in ("revenue", "cost", "profit")])
-        .withColumn("actual_margin_pct", ratio("total_profit", "total_revenue") * 100)
+        sums.withColumn("actual_margin_pct", ratio("total_profit", "total_revenue") * 100)
         .withColumn("expected_margin_pct", F.lit(expected))
         .withColumn("deviates", F.abs(F.col("actual_margin_pct") - expected) > limit)
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from tallybook.config import SHOP, Vocabulary
 from tallybook.operators import cleaning, imputation, validation
+from tallybook.plans import observed
 from tallybook.sources import files
 from tallybook.sources.staging import stage_table
 
@@ -36,12 +37,16 @@ def clean_sales(raw: DataFrame, vocabulary: Vocabulary = SHOP,
 
 def run_cleaning(raw: DataFrame, output_path: str, vocabulary: Vocabulary = SHOP,
                  file_format: str = "parquet", price_median: str = "raw",
-                 tokens: tuple[str, ...] | None = None) -> DataFrame:
+                 tokens: tuple[str, ...] | None = None,
+                 figures: observed.Figures | None = None, versions: bool = False) -> DataFrame:
     """Clean, check and write; a failed check raises and leaves the output as it was.
 
-    The rows are written once; the check reads them back instead of cleaning twice.
+    The records are read twice, for the statistics and for the rows; run counts and checks come from the
+    second pass, which writes them. ``figures`` receives them. With ``versions`` the new rows replace the
+    old ones in one step, see :func:`files.publish_table`.
     """
-    def check(stored: DataFrame) -> None:
-        validation.require(validation.validate_clean(stored, vocabulary, tokens=tokens))
-
-    return files.publish_table(clean_sales(raw, vocabulary, price_median), output_path, check, file_format)
+    figures = figures or observed.Figures(raw.sparkSession)
+    statistics = fit_statistics(cleaning.standardised_records(raw, vocabulary), price_median)
+    rows = observed.clean_records(raw, statistics, figures, vocabulary, tokens)
+    return files.publish_table(rows, output_path, lambda: validation.require(figures.clean_checks()), file_format,
+                               versions=versions)

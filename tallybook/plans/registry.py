@@ -13,7 +13,7 @@ from tallybook.operators import (
     aggregates, cleaning, features, imputation, kpis, measures, profiling, segmentation, trends,
     validation, visuals,
 )
-from tallybook.plans import clean, report, sales_sql
+from tallybook.plans import clean, observed, report, sales_sql
 from tallybook.sources import files
 from tallybook.sources.sample_tables import (
     EXTRA_COLUMNS, SAMPLE, SAMPLE_COST_RATES, SAMPLE_V1, raw_sales,
@@ -271,6 +271,15 @@ def validate_clean(t: Tables) -> DataFrame:
     return validation.validate_clean(t.clean(), SAMPLE)
 
 
+@query
+def observed_run(t: Tables) -> DataFrame:
+    """Run counts and checks from the pass that writes the clean table."""
+    figures = observed.Figures(t.spark)
+    rows = observed.clean_records(t.raw(), t.statistics(), figures, SAMPLE)
+    files.publish_table(rows, staging_path(t.spark, "clean"), versions=True)
+    return figures.counts()
+
+
 @query
 def validate_clean_v1(t: Tables) -> DataFrame:
     return validation.validate_clean(t.clean_v1(), SAMPLE_V1, CHECKED_TOKENS_V1)

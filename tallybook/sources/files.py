@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -113,14 +113,44 @@ def malformed_records(raw: DataFrame, malformed: str) -> DataFrame:
         F.count_if(F.col(malformed).isNotNull() & F.coalesce(*raw.columns).isNotNull()).alias("malformed"))
 
 
+# A published table is a folder with its versions and a file that names the current one.
+CURRENT, VERSIONS = "_current", "_versions"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """A path and its file system."""
+    context = spark.sparkContext
+    found = context._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Name of the version a published table shows; None for a plain table or none at all."""
+    pointer, store = _hadoop(spark, f"{path.rstrip('/')}/{CURRENT}")
+    if not store.exists(pointer):
+        return None
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(store.open(pointer), "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+def table_folder(spark: SparkSession, path: str) -> str:
+    """The folder that holds the rows of a table, published in versions or plain."""
+    version = current_version(spark, path)
+    return f"{path.rstrip('/')}/{VERSIONS}/{version}" if version else path
+
+
 def read_typed(spark: SparkSession, path: str, schema: T.StructType,
                file_format: str = "parquet") -> DataFrame:
-    """Read a clean or engineered table written by :func:`write_table`."""
+    """Read a clean or engineered table written by :func:`write_table` or :func:`publish_table`."""
     reader = spark.read.schema(schema)
     if file_format == "csv":
         # A header that disagrees with the schema is an error, not a shift.
         reader = reader.options(**CSV_OPTIONS).option("enforceSchema", False).option("mode", "FAILFAST")
-    return reader.format(file_format).load(path)
+    return reader.format(file_format).load(table_folder(spark, path))
 
 
 def read_clean(spark: SparkSession, path: str, file_format: str = "parquet",
@@ -154,25 +184,67 @@ def write_table(df: DataFrame, path: str, file_format: str = "parquet",
     writer.format(file_format).save(path)
 
 
-def publish_table(df: DataFrame, path: str, check: Callable[[DataFrame], None],
-                  file_format: str = "parquet", partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` once beside ``path``, ``check`` the stored rows, then put them in its place.
+def point_to(spark: SparkSession, path: str, version: str) -> None:
+    """Makes ``version`` the one that readers of ``path`` see.
 
-    A check that raises removes the new rows and leaves ``path`` as it was.
+    The pointer is written beside and renamed over the old one in one step of the file system, so a reader
+    finds the old or the new one, and a writer that dies before leaves the old one.
+    """
+    root = path.rstrip("/")
+    target, store = _hadoop(spark, f"{root}/{CURRENT}")
+    pending, _ = _hadoop(spark, f"{root}/{CURRENT}.{uuid.uuid4().hex}")
+    out = store.create(pending)
+    out.write(bytearray(version.encode()))
+    out.close()
+    context = spark.sparkContext
+    files = context._jvm.org.apache.hadoop.fs
+    rename = getattr(files, "Options$Rename")
+    options = context._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    files.FileContext.getFileContext(target.toUri(), context._jsc.hadoopConfiguration()).rename(pending, target, options)
+
+
+def forget_versions(spark: SparkSession, path: str, keep: Iterable[str]) -> None:
+    """Deletes versions of a published table that are not in ``keep``."""
+    folder, store = _hadoop(spark, f"{path.rstrip('/')}/{VERSIONS}")
+    for entry in store.listStatus(folder):
+        if entry.getPath().getName() not in keep:
+            store.delete(entry.getPath(), True)
+
+
+def publish_table(df: DataFrame, path: str, check: Callable[[], None] = lambda: None,
+                  file_format: str = "parquet", partition_by: tuple[str, ...] = (),
+                  versions: bool = False) -> DataFrame:
+    """Write ``df`` once beside ``path``, then put it in its place.
+
+    ``check`` runs once the rows are written; if it raises, they are removed and ``path`` stays as it was.
+
+    Plain tables are folders any reader can open; replacing one is a deletion and a renaming, and a job
+    that dies between the two leaves the rows in the folder beside. With ``versions`` there is no such
+    moment: the rows become a new version below ``path``, and the pointer to it changes in one step at the
+    end. Readers resolve the pointer (:func:`read_typed`, :func:`table_folder`). The version before the
+    current one stays for readers that have begun with it; older ones go after the change. Of two writers at
+    once the later pointer counts.
     """
-    spark, context = df.sparkSession, df.sparkSession.sparkContext
-    pending = f"{path.rstrip('/')}.pending-{uuid.uuid4().hex}"
+    spark, root = df.sparkSession, path.rstrip("/")
+    version = f"v-{uuid.uuid4().hex}"
+    pending = f"{root}/{VERSIONS}/{version}" if versions else f"{root}.pending-{version}"
+    before = current_version(spark, path)
     write_table(df, pending, file_format, partition_by)
-    new, old = (context._jvm.org.apache.hadoop.fs.Path(p) for p in (pending, path))
-    store = old.getFileSystem(context._jsc.hadoopConfiguration())
+    new, store = _hadoop(spark, pending)
     try:
-        check(read_typed(spark, pending, df.schema, file_format))
+        check()
     except Exception:
         store.delete(new, True)
         raise
-    store.delete(old, True)
-    if not store.rename(new, old):
-        raise OSError(f"checked rows stay in {pending}, {path} could not be written")
+    if versions:
+        point_to(spark, path, version)
+        forget_versions(spark, path, {version, before})
+    else:
+        old, _ = _hadoop(spark, root)
+        store.delete(old, True)
+        if not store.rename(new, old):
+            raise OSError(f"checked rows stay in {pending}, {path} could not be written")
     return read_typed(spark, path, df.schema, file_format)
 
 
