@@ -35,7 +35,8 @@ def _set_id(present: tuple[str, ...]) -> int:
     return int("".join("0" if c in present else "1" for c in _COUNTED), 2)
 
 
-def _in_set(*present: str) -> Column:
+def in_set(*present: str) -> Column:
+    """True for the rows of :func:`value_counts` that count the given columns."""
     return F.col("set_id") == _set_id(present)
 
 
@@ -61,12 +62,12 @@ def _most_frequent(value: str, condition: Column) -> Column:
 
 def item_statistics(counts: DataFrame) -> DataFrame:
     """Most frequent quantity and mean price of each item."""
-    priced = _in_set("item", "price_per_unit") & F.col("price_per_unit").isNotNull()
+    priced = in_set("item", "price_per_unit") & F.col("price_per_unit").isNotNull()
     return (
         counts.filter(F.col("item").isNotNull())
         .groupBy("item")
         .agg(
-            _most_frequent("quantity", _in_set("item", "quantity")).alias("item_quantity"),
+            _most_frequent("quantity", in_set("item", "quantity")).alias("item_quantity"),
             F.try_divide(
                 F.sum(F.when(priced, F.col("price_per_unit") * F.col("n"))),
                 F.sum(F.when(priced, F.col("n"))),
@@ -88,12 +89,12 @@ def overall_statistics(counts: DataFrame, by_item: DataFrame,
     filled_price = F.col("item_price") if price_median == "filled" else F.lit(None)
     # Both sides are statistics: one row per distinct value, one per item.
     values = (
-        counts.filter(_in_set("item", "quantity") | _in_set("item", "price_per_unit"))
+        counts.filter(in_set("item", "quantity") | in_set("item", "price_per_unit"))
         .join(by_item, "item", "left")
         .select(
-            F.when(_in_set("item", "quantity"), "quantity").otherwise("price_per_unit")
+            F.when(in_set("item", "quantity"), "quantity").otherwise("price_per_unit")
             .alias("series"),
-            F.when(_in_set("item", "quantity"), F.coalesce("quantity", "item_quantity"))
+            F.when(in_set("item", "quantity"), F.coalesce("quantity", "item_quantity"))
             .otherwise(F.coalesce(F.col("price_per_unit"), filled_price)).alias("value"),
             "n",
         )
@@ -103,13 +104,13 @@ def overall_statistics(counts: DataFrame, by_item: DataFrame,
         for name, dtype in (("quantity", QUANTITY), ("price_per_unit", PRICE))
     ]).select(F.struct("quantity", "price_per_unit")).scalar()
     items = (
-        counts.filter(_in_set("item", "quantity") & F.col("item").isNotNull())
+        counts.filter(in_set("item", "quantity") & F.col("item").isNotNull())
         .groupBy("item").agg(F.sum("n").alias("n"))
         .agg(F.min_by("item", F.struct(-F.col("n"), "item")))
     )
     return counts.agg(
-        _most_frequent("payment_method", _in_set("payment_method")).alias("payment_method"),
-        _most_frequent("location", _in_set("location")).alias("location"),
+        _most_frequent("payment_method", in_set("payment_method")).alias("payment_method"),
+        _most_frequent("location", in_set("location")).alias("location"),
     ).select(
         medians.alias("medians"), items.scalar().alias("item"), "payment_method", "location",
     )

@@ -10,13 +10,13 @@ from tallybook import schemas
 from tallybook.config import CHECKED_TOKENS_V1
 from tallybook.functions.numbers import real
 from tallybook.operators import (
-    aggregates, cleaning, features, imputation, kpis, measures, profiling, segmentation, trends,
-    validation, visuals,
+    aggregates, cleaning, costs, features, imputation, kpis, measures, profiling, segmentation, sketches,
+    trends, validation, visuals,
 )
 from tallybook.plans import clean, observed, report, sales_sql
 from tallybook.sources import files
 from tallybook.sources.sample_tables import (
-    EXTRA_COLUMNS, SAMPLE, SAMPLE_COST_RATES, SAMPLE_V1, raw_sales,
+    EXTRA_COLUMNS, SAMPLE, SAMPLE_COST_RATES, SAMPLE_DATED_RATES, SAMPLE_V1, raw_sales,
 )
 from tallybook.sources.staging import stage_table, staged_once, staging_path
 from tallybook.streaming import incremental
@@ -301,6 +301,13 @@ def features_cost_dim(t: Tables) -> DataFrame:
     return plain(features.add_financials(t.clean(), SAMPLE_COST_RATES).select(*_FINANCIAL))
 
 
+@query
+def features_cost_as_of(t: Tables) -> DataFrame:
+    rates = t.spark.createDataFrame(SAMPLE_DATED_RATES, "item string, valid_from string, cogs_rate string")
+    return plain(costs.add_financials_as_of(t.clean(), rates).select(
+        "transaction_id", "item", "transaction_date", "revenue", "cost", "profit"))
+
+
 @query
 def features_time(t: Tables) -> DataFrame:
     return plain(features.add_calendar(t.clean()).select(
@@ -609,5 +616,45 @@ def incremental_rollup(t: Tables) -> DataFrame:
     return plain(_taken_in(t).rollup())
 
 
+def _sketched(t: Tables) -> DataFrame:
+    """Sketches of three parts of the records, merged."""
+    part = F.pmod(F.xxhash64("transaction_id"), F.lit(3))
+    def build() -> DataFrame:
+        rows = t.standardised()
+        parts = [sketches.value_sketches(rows.where(part == k)) for k in range(3)]
+        return sketches.merge_sketches(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    return t._stored("sketches", build)
+
+
+@query
+def sketch_statistics(t: Tables) -> DataFrame:
+    """Most frequent quantity and mean price of each item, from merged sketches."""
+    return plain(sketches.item_statistics(_sketched(t)))
+
+
+@query
+def sketch_quantiles(t: Tables) -> DataFrame:
+    """Whether the sketched price quantiles keep their rank bound; counts of all prices."""
+    shares = [0.05, 0.25, 0.5, 0.75, 0.95]
+    found = _sketched(t).where("kind = 'item'").agg(F.kll_merge_agg_double("prices").alias("prices"))
+    asked = found.select(
+        F.kll_sketch_get_n_double("prices").alias("sketched"),
+        F.posexplode(sketches.quantiles(F.col("prices"), shares)).alias("at", "value"))
+    counts = t._stored("value-counts", lambda: imputation.value_counts(t.standardised()))
+    prices = counts.where(imputation.in_set("item", "price_per_unit") & F.col("price_per_unit").isNotNull()).groupBy(
+        F.col("price_per_unit").cast("double").alias("price")).agg(F.sum("n").alias("n"))
+    # Five values, each compared with every distinct price.
+    values = asked.agg(F.array_sort(F.collect_list(F.struct("at", "value"))), F.max("sketched")).first()
+    figures = [f(p) for _, p in enumerate(values[0]) for f in (
+        lambda p: F.sum(F.when(F.col("price") < p.value, F.col("n")).otherwise(0)).alias(f"below{p.at}"),
+        lambda p: F.sum(F.when(F.col("price") <= p.value, F.col("n")).otherwise(0)).alias(f"upto{p.at}"))]
+    total = prices.agg(F.sum("n").alias("n"), *figures)
+    bound = F.col("n") * sketches.RANK_ERROR
+    return total.select("n", F.explode(F.array(*[F.struct(
+        F.lit(p).alias("share"),
+        ((F.col(f"below{k}") - bound <= p * F.col("n")) & (F.col(f"upto{k}") + bound >= p * F.col("n"))
+         & (F.col("n") == values[1])).alias("kept")) for k, p in enumerate(shares)])).alias("row")).select("n", "row.*")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

@@ -37,6 +37,13 @@ SAMPLE_V1 = Vocabulary(
 SAMPLE_COST_RATES = {"Standard": "0.60", "Promo": "0.66", "Economy": "0.63",
                      "Medium": "0.58", "Small": "0.72"}
 
+# Cost rates from a day on; Standard has none, Medium two on the same day.
+SAMPLE_DATED_RATES = [
+    ("Promo", "1993-01-01", "0.66"), ("Promo", "1995-06-15", "0.61"), ("Promo", "1997-02-28", "0.70"),
+    ("Economy", "1994-03-01", "0.63"), ("Medium", "1992-01-01", "0.58"), ("Medium", "1996-08-09", "0.55"),
+    ("Medium", "1996-08-09", "0.57"), ("Small", "1998-12-31", "0.72"), ("Large", "1996-01-01", "0.64"),
+]
+
 EXTRA_COLUMNS = ("order_type", "customer_id")
 
 
