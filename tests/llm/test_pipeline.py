@@ -37,3 +37,38 @@ def test_stages_follow_each_other(spark, small):
     assert packed.where("piece = 0").count() == mixed.count()
     fill = packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).toPandas()["n"]
     assert fill.max() <= 1024 and len(fill) <= np.ceil(fill.sum() / 1024) + 3
+
+
+A = " ".join(f"alpha{k}" for k in range(40))
+B = " ".join(f"beta{k}" for k in range(40))
+ODD = "doc_id long, text string, lang string, source string, n_chars long, keep string, id string, mark long, kept string"
+
+
+def odd(spark, *rows):
+    return spark.createDataFrame([(i, t, "en", s, 1, "x", "x", 3, "x") for i, t, s in rows], ODD)
+
+
+def test_copies_are_told_by_id_and_text(spark):
+    docs = odd(spark, (3, A, "a"), (5, A, "a"), (5, B, "a"), (7, B + " tail", "b"), (7, "other words stand here", "b"),
+               (8, None, "a"), (8, None, "a"), (9, "", None), (None, A, "a"), (None, A, "a"), (3, A, "a"))
+    got = corpus_pipeline.distinct_documents(spark, docs, "")
+    assert got.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert found == sorted([(3, A), (5, B), (7, "other words stand here"), (8, None), (9, ""), (None, A), (None, A)], key=str)
+
+
+def test_stages_take_odd_rows_and_empty_tables(spark, small):
+    docs = odd(spark, (1, A, "a"), (1, A, "a"), (None, B, None), (2, None, "a"), (3, "", None), (4, "word " * 5000, "b"))
+    for rows in (docs, docs.limit(0)):
+        for name, function in corpus_pipeline.STAGES:
+            got = function(spark, rows, small)
+            if name != "packing":
+                assert got.columns == docs.columns
+            found = got.collect()
+            if rows is not docs:
+                assert not found
+            elif name == "packing":
+                assert sum(r.piece == 0 for r in found) == 6
+                assert sum(r.length for r in found if r.doc_id == 2) == 1
+            elif name == "mixing sources":
+                assert {r.doc_id for r in found} <= {1, None, 4} and found
