@@ -16,7 +16,12 @@ ORACLE_SQL = None
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier keeps."""
+    """Documents that the quality classifier keeps, whole rows.
+
+    Null and empty texts are scored by their site alone; rows without an id are scored like others but
+    teach nothing; repeated rows get the same score. Without labels, or without documents, nothing is
+    rejected, or there is nothing to reject. Further columns of ``docs`` come out again.
+    """
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.score_documents(docs, labels).where("keep").select(*docs.columns)
@@ -25,24 +30,42 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity 0.8 or more.
 
-    The one with the smallest id stays; of repeated rows one stays. Rows without an id all stay.
+    The one with the smallest id stays; ids are told apart by their texts, so that an id that stands for
+    several texts neither keeps nor drops the others. Of repeated rows one stays. Rows without an id, and
+    texts without words, are copies of nothing and all stay, the latter once per id and text. An empty
+    table gives an empty one.
     """
     ship(spark)
-    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    copies = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
-    named = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("__kept"), "left_semi")
-    single = named.withColumn("__copy", F.row_number().over(copies)).where("__copy = 1").drop("__copy")
+    mark = F.xxhash64("text")
+    named = docs.where("doc_id IS NOT NULL")
+    texts = named.select(F.struct("doc_id", mark.alias("mark")).alias("id"), "text")
+    kept = (
+        minhash.near_duplicates(texts, id_column="id").where("kept")
+        .select(F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.mark").alias("__mark")).distinct()
+    )
+    single = named.withColumn("__text", mark).join(
+        kept, (F.col("doc_id") == F.col("__id")) & (F.col("__text") == F.col("__mark")), "left_semi")
+    copies = Window.partitionBy("doc_id", "__text").orderBy(F.lit(0))
+    single = single.withColumn("__copy", F.row_number().over(copies)).where("__copy = 1").drop("__copy", "__text")
     return single.unionByName(docs.where("doc_id IS NULL"))
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix, each as often as it is taken."""
+    """The documents of the mix, each as often as it is taken.
+
+    A null source is a source; null and empty texts have no words, so the mix takes none of them; rows
+    without an id and repeated rows are mixed like others; an empty table gives an empty one.
+    """
     ship(spark)
     return mixing.mixed_rows(mixing.mix_sources(docs)).select(*docs.columns)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
+    """The pieces of all documents and their places in sequences.
+
+    A null text is an empty one and has its end token alone; rows without an id and repeated rows are
+    packed like others; longer texts are cut; an empty table gives no pieces.
+    """
     ship(spark)
     return packing.pack(docs, tokenizer_file())
 
