@@ -276,6 +276,53 @@ def test_scores_have_exact_counts(spark, docs):
     assert lm.score_texts(docs.limit(0), held).count() == 0
 
 
+@pytest.mark.parametrize("least,weight", [(1, 0.25), (2, 0.25), (4, 0.6)])
+def test_scores_equal_brute_force(spark, docs, least, weight):
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    single, pairs, starts = Counter(), Counter(), 0
+    for doc_id, text in TEXTS:
+        if doc_id is None or zlib.crc32(str(doc_id).encode()) % 7 != 2:
+            w = ["\r", *words(text), "\n"]
+            single.update(w[1:])
+            pairs.update(zip(w, w[1:]))
+            starts += 1
+    n, v = sum(single.values()), len(single)
+
+    def log_p(before, w):
+        context = starts if before == "\r" else single[before]
+        joint = min(2 ** int(math.log2(pairs[before, w])) if pairs[before, w] >= least else 0, context, single[w])
+        share = weight if context else 0
+        return math.log10(share * joint / max(context, 1) + (1 - share) * (single[w] + 1) / (n + v + 1))
+
+    texts = dict(TEXTS)
+    # One part, and passes over several of one segment each.
+    for options in ({}, {"segment_bits": 1 << 14, "part_bytes": (1 << 14) // 8}):
+        got = rows_of(lm.score_texts(docs, held, weight=weight, least=least, **options))
+        assert len(got) == len(TEXTS)
+        for r in got:
+            w = ["\r", *words(texts[r["doc_id"]]), "\n"]
+            assert r["score"] == pytest.approx(sum(map(log_p, w, w[1:])))
+
+
+def test_words_after_a_word_share_its_count():
+    """At the designed load the counts of all words after a word hardly exceed that word's own."""
+    import pandas as pd
+    rng = np.random.default_rng(12)
+    words_, size = rng.integers(0, 2**63, 4000, dtype=np.uint64), 400_000
+    text = rng.zipf(1.2, size) % 4000
+    pairs, counts = np.unique(text[:-1] * 4000 + text[1:], return_counts=True)
+    hashes = lambda x: lm._keys(lm.mix(words_[x // 4000] * np.uint64(0x9E3779B97F4A7C15) + words_[x % 4000]))
+    order = np.argsort(hashes(pairs))
+    bits = size * lm.BITS_PER_TOKEN
+    filled = lm._fill_segment(pd.DataFrame({"segment": [0], "hashes": [packed.pack_sorted(hashes(pairs)[order], "<u4")],
+                                            "counts": [packed.pack(counts[order], "<u4")]}), 2, bits)["bits"][0]
+    single = np.bincount(text, minlength=4000)
+    for v in rng.choice(np.flatnonzero(single), 60):
+        after = np.arange(4000) + v * 4000
+        joint = lm._counts_from(np.frombuffer(filled, np.uint8), hashes(after), np.zeros(4000, np.int64), 2, bits)
+        assert np.minimum(joint, np.minimum(single[v], single)).sum() <= single[v]
+
+
 def test_filter_counts_are_rounded_down():
     import pandas as pd
     hashes = np.sort(np.random.default_rng(6).integers(0, 2**63, 2000, dtype=np.uint64))
