@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybook.llm import minhash, mixing, packing, quality
@@ -39,15 +38,20 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     mark = F.xxhash64("text")
     named = docs.where("doc_id IS NOT NULL")
     texts = named.select(F.struct("doc_id", mark.alias("mark")).alias("id"), "text")
-    kept = (
+    kept = stage(
         minhash.near_duplicates(texts, id_column="id").where("kept")
-        .select(F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.mark").alias("__mark")).distinct()
-    )
-    single = named.withColumn("__text", mark).join(
-        kept, (F.col("doc_id") == F.col("__id")) & (F.col("__text") == F.col("__mark")), "left_semi")
+        .groupBy(F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.mark").alias("__mark"))
+        .agg(F.count(F.lit(1)).alias("rows")), "kept")
+    marked = named.withColumn("__text", mark)
+
+    def chosen(rows: str) -> DataFrame:
+        keys = kept.where(rows)
+        return marked.join(keys, (F.col("doc_id") == F.col("__id")) & (F.col("__text") == F.col("__mark")), "left_semi")
+
+    # Only repeated rows need to come together.
     copies = Window.partitionBy("doc_id", "__text").orderBy(F.lit(0))
-    single = single.withColumn("__copy", F.row_number().over(copies)).where("__copy = 1").drop("__copy", "__text")
-    return single.unionByName(docs.where("doc_id IS NULL"))
+    first = chosen("rows > 1").withColumn("__copy", F.row_number().over(copies)).where("__copy = 1").drop("__copy")
+    return chosen("rows = 1").unionByName(first).drop("__text").unionByName(docs.where("doc_id IS NULL"))
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
