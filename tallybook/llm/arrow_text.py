@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,9 @@ LOWER[ord("A"):ord("Z") + 1] += 32
 
 SLICE_BYTES = 1 << 21
 
+# Only the GNU C library has it.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 _random = np.random.default_rng(20240611)
 _BYTE = _random.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE[ord("A"):ord("Z") + 1] = _BYTE[ord("a"):ord("z") + 1]
@@ -41,6 +45,13 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, limits - limits[0]
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Arrow's pool and the C library keep it, the JVM needs it."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def slices(limits: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``size`` bytes; a longer text has a range of its own."""
     start, rows = 0, len(limits) - 1
@@ -48,6 +59,7 @@ def slices(limits: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int, i
         end = int(np.searchsorted(limits, limits[start] + size, side="right")) - 1
         end = min(max(end, start + 1), rows)
         yield start, end
+        give_back()
         start = end
 
 

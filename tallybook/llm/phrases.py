@@ -175,8 +175,6 @@ def _added(held: list[pa.Table]):
 def _phrase_rows(batches, depth: int, sent, shift: int):
     held: list[pa.Table] = []
     for shard in _texts(batches):
-        # The pool keeps what was freed; the JVM beside it needs the memory.
-        pa.default_memory_pool().release_unused()
         for columns in _shard_rows(shard, depth, sent and sent.value, shift):
             held.append(pa.table([x.cast(pa.large_string()) if pa.types.is_string(x.type) else x for x in columns],
                                  names=NAMES))

@@ -163,5 +163,3 @@ def token_slices(column: pa.Array, path: str):
     for start, end in slices(limits, SLICE_BYTES):
         part = limits[start:end + 1]
         yield start, end, *encoder(path).encode(data[part[0]:part[-1]], part - part[0])
-        # The pool keeps what was freed; the JVM beside it needs the memory.
-        pa.default_memory_pool().release_unused()
