@@ -31,6 +31,10 @@ SHOP_ITEMS_V1 = ("Coffee", "Tea", "Cake", "Cookie", "Salad", "Sandwich",
 SHOP_PAYMENTS_V1 = ("Cash", "Credit Card", "Digital Wallet")
 SHOP_LOCATIONS_V1 = ("In-Store", "Takeaway")
 
+SHOP_LOCATION_SPELLINGS = {"in store": "In-Store", "instore": "In-Store",
+                           "take away": "Takeaway", "take-away": "Takeaway"}
+SHOP_LOCATION_SPELLINGS_V1 = {"in store": "In-Store", "instore": "In-Store"}
+
 COGS_RATE = "0.60"
 TOTAL_TOLERANCE = "0.01"
 
@@ -66,8 +70,7 @@ SHOP = Vocabulary(
     items=SHOP_ITEMS,
     payments=SHOP_PAYMENTS,
     locations=SHOP_LOCATIONS,
-    location_aliases={"in store": "In-Store", "instore": "In-Store",
-                      "take away": "Takeaway", "take-away": "Takeaway"},
+    location_aliases=SHOP_LOCATION_SPELLINGS,
 )
 
 SHOP_V1 = Vocabulary(
@@ -75,5 +78,5 @@ SHOP_V1 = Vocabulary(
     payments=SHOP_PAYMENTS_V1,
     locations=SHOP_LOCATIONS_V1,
     invalid_tokens=INVALID_TOKENS_V1,
-    location_aliases={"in store": "In-Store", "instore": "In-Store"},
+    location_aliases=SHOP_LOCATION_SPELLINGS_V1,
 )

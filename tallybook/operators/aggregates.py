@@ -13,7 +13,7 @@ from tallybook.functions.numbers import real
 
 ROLLUP_KEYS = ("transaction_date", "item", "payment_method", "location", "order_type")
 
-_SUMMED = ("revenue", "cost", "profit", "total_spent", "quantity", "price_per_unit", "gross")
+SUMMED = ("revenue", "cost", "profit", "total_spent", "quantity", "price_per_unit", "gross")
 
 
 def additive(sales: DataFrame) -> DataFrame:
@@ -30,7 +30,7 @@ def additive(sales: DataFrame) -> DataFrame:
 def totals(sales: DataFrame, *keys: str | Column) -> DataFrame:
     """Sums, counts and largest bill by ``keys`` (partial sums before the shuffle)."""
     return additive(sales).groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in _SUMMED],
+        *[F.sum(c).alias(c) for c in SUMMED],
         F.coalesce(F.sum("transactions"), F.lit(0)).cast("bigint").alias("transactions"),
         F.max("max_bill").alias("max_bill"),
     )

@@ -20,6 +20,10 @@ from tallybook.operators.aggregates import totals
 MARGIN_CLASSES = ((0.38, "High Margin (≥38%)"), (0.32, "Mid Margin (32–38%)"))
 LOWEST_CLASS = "Low Margin (<32%)"
 
+# Title texts and the growth label.
+DATE_TITLE, REVENUE_TITLE = "Revenue Analysis · ", "Total Revenue ("
+GROWTH_LABEL, UP, DOWN, NO_GROWTH = "%.1f%% vs LM", "▲ ", "▼ ", "—"
+
 # Unrounded sums of quantity x price.
 GROSS = "decimal(28,8)"
 
@@ -154,11 +158,11 @@ def rolling_three_months(spine: DataFrame, by: tuple[str, ...] = ()) -> DataFram
 def growth_label(fraction: Column | str = "mom_growth") -> Column:
     """'▲ 12.6% vs LM', '▼ 3.0% vs LM' or a dash."""
     fraction = F.col(fraction) if isinstance(fraction, str) else fraction
-    shown = F.format_string("%.1f%% vs LM", F.abs(fraction) * 100)
+    shown = F.format_string(GROWTH_LABEL, F.abs(fraction) * 100)
     return (
-        F.when(fraction.isNull(), "—")
-        .when(fraction >= 0, F.concat(F.lit("▲ "), shown))
-        .otherwise(F.concat(F.lit("▼ "), shown))
+        F.when(fraction.isNull(), NO_GROWTH)
+        .when(fraction >= 0, F.concat(F.lit(UP), shown))
+        .otherwise(F.concat(F.lit(DOWN), shown))
     )
 
 
@@ -228,8 +232,8 @@ def titles(sales: DataFrame) -> DataFrame:
     """Page and card titles for the date range of the context."""
     span = sales.agg(F.min("transaction_date").alias("first"), F.max("transaction_date").alias("last"))
     return span.select(
-        F.concat(F.lit("Revenue Analysis · "), F.date_format("first", "dd MMM yyyy"),
+        F.concat(F.lit(DATE_TITLE), F.date_format("first", "dd MMM yyyy"),
                  F.lit(" – "), F.date_format("last", "dd MMM yyyy")).alias("title_date_range"),
-        F.concat(F.lit("Total Revenue ("), F.date_format("last", "MMM yyyy"), F.lit(")"))
+        F.concat(F.lit(REVENUE_TITLE), F.date_format("last", "MMM yyyy"), F.lit(")"))
         .alias("title_revenue_kpi"),
     )

@@ -20,8 +20,8 @@ CHANNEL_TEXT = (
     "packaging). A minimum order threshold may improve unit economics.")
 PAYMENT_TEXT = (
     "PAYMENT | %s represents %.1f%% of revenue. "
-    "Cash handling costs 2–4%% of transaction value. A targeted Digital Wallet incentive "
-    "(e.g., 5%% discount above ₹80) could shift 10–15%% of cash volume within 60 days.")
+    "%s handling costs 2–4%% of transaction value. A targeted Digital Wallet incentive "
+    "(e.g., 5%% discount above ₹80) could shift 10–15%% of %s volume within 60 days.")
 
 
 def _named_items(quadrants: DataFrame, quadrant: str, template: str, position: int) -> DataFrame:
@@ -41,7 +41,8 @@ def recommendations(quadrants: DataFrame, channels: DataFrame, payments: DataFra
                     method: str = "Cash", threshold_pct: float = 30.0) -> DataFrame:
     """(position, recommendation).
 
-    Inputs are the aggregated analyses: a row per item, channel or method.
+    Inputs are the aggregated analyses: a row per item, channel or method. The payment rule names
+    ``method`` throughout.
     """
     review = _named_items(quadrants, REVIEW, REVIEW_TEXT, 1)
     stars = _named_items(quadrants, STAR, STAR_TEXT, 2)
@@ -59,7 +60,8 @@ def recommendations(quadrants: DataFrame, channels: DataFrame, payments: DataFra
         payments.filter((F.col("payment_method") == method)
                         & (F.col("revenue_share_pct") > threshold_pct))
         .select(F.lit(4).alias("position"),
-                F.format_string(PAYMENT_TEXT, F.col("payment_method"), F.col("revenue_share_pct"))
+                F.format_string(PAYMENT_TEXT, F.col("payment_method"), F.col("revenue_share_pct"),
+                                F.col("payment_method"), F.lower("payment_method"))
                 .alias("recommendation"))
     )
     return review.unionByName(stars).unionByName(weakest).unionByName(heavy)

@@ -10,11 +10,12 @@ from tallybook import schemas
 from tallybook.config import CHECKED_TOKENS_V1
 from tallybook.functions.numbers import real
 from tallybook.operators import (
-    aggregates, cleaning, costs, features, imputation, kpis, measures, profiling, segmentation, sketches,
+    aggregates, cleaning, costs, cube, drivers, features, imputation, kpis, measures, profiling, segmentation, sketches,
     trends, validation, visuals,
 )
 from tallybook.plans import clean, observed, report, sales_sql
-from tallybook.sources import files
+from tallybook.plans.lattice import Lattice
+from tallybook.sources import files, layout
 from tallybook.sources.sample_tables import (
     EXTRA_COLUMNS, SAMPLE, SAMPLE_COST_RATES, SAMPLE_DATED_RATES, SAMPLE_V1, raw_sales,
 )
@@ -38,8 +39,8 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return staged_once(self.spark, self.folder, name, build)
+    def _stored(self, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()) -> DataFrame:
+        return staged_once(self.spark, self.folder, name, build, partition_by)
 
     def raw(self) -> DataFrame:
         return raw_sales(self.spark, self.folder)
@@ -88,6 +89,10 @@ class Tables:
         rollup = self._stored("daily-rollup", lambda: aggregates.daily_rollup(self.costed()))
         return features.add_calendar(rollup)
 
+    def cube(self) -> DataFrame:
+        """The rollup's totals by level, which the report reads."""
+        return self._stored("analysis-cube", lambda: cube.analysis_cube(self.sales()), ("level",))
+
 
 def plain(df: DataFrame, places: int | None = None) -> DataFrame:
     """Types any engine shares: doubles, 64-bit integers, ISO dates as text.
@@ -426,10 +431,38 @@ def kpi_top_bottom_n(t: Tables) -> DataFrame:
 
 @query
 def report_lines(t: Tables) -> DataFrame:
-    lines = report.report_lines(report.analyse(t.sales()))
+    lines = report.report_lines(report.analyse_cube(t.cube()))
     return plain(lines.orderBy("section", "line_no"))
 
 
+@query
+def analysis_cube(t: Tables) -> DataFrame:
+    return plain(t.cube().drop("gross"))
+
+
+_LATTICES: dict[tuple[str, str], Lattice] = {}
+
+
+@query
+def lattice_answers(t: Tables) -> DataFrame:
+    """Totals by several groupings, each from the smallest stored rollup that has its columns."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _LATTICES:
+        _LATTICES[key] = Lattice(t.sales())
+    stored = _LATTICES[key]
+    rows = []
+    for keys in (("item",), ("location", "payment_method"), ("item", "quarter"), ("order_type", "year_month"),
+                 ("item", "location", "year"), ("day_of_week",), ()):
+        found = aggregates.totals(stored.rows(*keys), *keys)
+        rows.append(found.select(
+            F.lit("+".join(keys)).alias("grouping"), F.concat_ws("|", *keys).alias("key"),
+            "revenue", "profit", "quantity", "transactions", "max_bill"))
+    united = rows[0]
+    for part in rows[1:]:
+        united = united.unionByName(part)
+    return plain(united)
+
+
 # --- named sales queries ----------------------------------------------------
 
 
@@ -520,6 +553,17 @@ def view_filtered_kpis(t: Tables) -> DataFrame:
     return plain(kpis.executive_kpis(chosen), 4)
 
 
+@query
+def view_clustered_slicer(t: Tables) -> DataFrame:
+    """The figures of a few items and places, from sales stored by a key of all slicers."""
+    path = staging_path(t.spark, "clustered-sales")
+    sales = stage_table(t.costed(), "engineered-sales")
+    layout.write_clustered(sales, path, ("item", "location", "payment_method"), ("year_month",))
+    chosen = measures.in_context(files.read_engineered(t.spark, path, extras=EXTRA_COLUMNS), item=["Promo", "Small"],
+                                 location="Europe")
+    return plain(kpis.executive_kpis(chosen), 4)
+
+
 @query
 def view_kpi_cards(t: Tables) -> DataFrame:
     return plain(visuals.kpi_cards(t.sales()))
@@ -555,6 +599,11 @@ def view_price_volume(t: Tables) -> DataFrame:
     return plain(visuals.price_volume_mix(t.sales()))
 
 
+@query
+def view_revenue_drivers(t: Tables) -> DataFrame:
+    return plain(drivers.revenue_drivers(t.sales()))
+
+
 # --- segments, order costs, item forecasts, incremental load ----------------
 
 

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallybook.functions.numbers import real
 from tallybook.operators import kpis, recommendations as rules, trends
+from tallybook.operators.cube import analysis_cube, level
 from tallybook.plans.engineered import sales_rollup
 from tallybook.sources.files import write_report
+from tallybook.sources.staging import stage_table
 
 # Rules, titles and notes of the report.
 DOUBLE_RULE = "=" * 64
@@ -57,16 +59,25 @@ class Analysis(NamedTuple):
     recommendations: DataFrame
 
 
-def analyse(sales: DataFrame, iqr_multiplier: float = 1.5) -> Analysis:
-    """All analyses of engineered sales or of a rollup of them."""
-    monthly = trends.monthly_trend(sales)
-    products = kpis.product_quadrants(kpis.product_matrix(sales))
-    channels = kpis.channel_analysis(sales)
-    payments = kpis.payment_analysis(sales)
+def store_cube(sales: DataFrame) -> DataFrame:
+    """The totals by level of a rollup or of a small table of sales, in one pass over it.
+
+    Large sales are rolled up first: each row of the input takes part in every level.
+    """
+    return stage_table(analysis_cube(sales), "analysis-cube", ("level",))
+
+
+def analyse_cube(cube: DataFrame, iqr_multiplier: float = 1.5) -> Analysis:
+    """All analyses; each section reads its own level of the cube."""
+    monthly = trends.monthly_trend(level(cube, "month_start"))
+    products = kpis.product_quadrants(kpis.product_matrix(level(cube, "item")))
+    channel = kpis.channel_column(cube)
+    channels = kpis.channel_analysis(level(cube, channel), channel)
+    payments = kpis.payment_analysis(level(cube, "payment_method"))
     return Analysis(
-        executive=kpis.executive_kpis(sales),
+        executive=kpis.executive_kpis(level(cube)),
         monthly=monthly,
-        quarterly=trends.quarterly_trend(sales),
+        quarterly=trends.quarterly_trend(level(cube, "month_start")),
         products=products,
         channels=channels,
         payments=payments,
@@ -76,6 +87,11 @@ def analyse(sales: DataFrame, iqr_multiplier: float = 1.5) -> Analysis:
     )
 
 
+def analyse(sales: DataFrame, iqr_multiplier: float = 1.5) -> Analysis:
+    """All analyses of engineered sales or of a rollup of them, which are read once."""
+    return analyse_cube(store_cube(sales), iqr_multiplier)
+
+
 def _fixed_lines(spark: SparkSession, business: str) -> DataFrame:
     lines = []
     for section, title in enumerate(TITLES):

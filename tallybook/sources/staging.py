@@ -21,23 +21,23 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tallybook/{app}/{name}-{uuid.uuid4().hex}"
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back."""
     spark = df.sparkSession
     path = staging_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 _STAGED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def staged_once(spark: SparkSession, dataset: str, name: str,
-                build: Callable[[], DataFrame]) -> DataFrame:
-    """``stage_table(build(), name)``, kept for the life of the application."""
+                build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """``stage_table(build(), name, partition_by)``, kept for the life of the application."""
     key = (spark.sparkContext.applicationId, dataset, name)
     found = _STAGED.get(key)
     if found is None or found.sparkSession is not spark:
-        found = stage_table(build(), name)
+        found = stage_table(build(), name, partition_by)
         _STAGED[key] = found
     return found

@@ -196,7 +196,7 @@ class Ledger:
 
         gained = F.col("sign") > 0
         totals = sales.groupBy("month", *keys).agg(
-            *[signed(c) for c in aggregates._SUMMED], F.sum(F.col("sign").cast("bigint")).alias("transactions"),
+            *[signed(c) for c in aggregates.SUMMED], F.sum(F.col("sign").cast("bigint")).alias("transactions"),
             F.max(F.when(gained, F.col("max_bill"))).alias("max_bill"), F.max(~gained).alias("lost"))
         if not done or moved.where("sign < 0").isEmpty():
             return totals
@@ -241,7 +241,7 @@ class Ledger:
         keys = self._keys(changes)
         since = F.max(F.when(F.col("lost"), F.col("batch"))).over(Window.partitionBy(*keys))
         summed = changes.withColumn("since", since).groupBy(*keys).agg(
-            *[F.sum(c).cast(changes.schema[c].dataType).alias(c) for c in aggregates._SUMMED],
+            *[F.sum(c).cast(changes.schema[c].dataType).alias(c) for c in aggregates.SUMMED],
             F.sum("transactions").alias("transactions"),
             F.max(F.when(F.col("since").isNull() | (F.col("batch") >= F.col("since")), F.col("max_bill"))).alias("max_bill"))
         return summed.where("transactions > 0")
