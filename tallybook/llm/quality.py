@@ -135,8 +135,9 @@ def score_documents(df: DataFrame, labels: DataFrame, id_column: str = "doc_id",
     """Adds ``p_text``, ``host_posterior``, ``path_posterior``, ``score`` and ``keep`` to every row.
 
     The model is fitted on at most ``sample_rows`` labelled rows (those with the smallest hashes of
-    their id). A site's share is the mean of ``p_text`` without the row being judged. The score's odds are the text's odds times what the path's odds are above
-    the sample's; ``keep`` is score >= ``limit``. Null or empty texts are judged by their (zero)
+    their id). The query's hosts are sources and its paths languages; any two columns will do. A site's
+    share is the mean of ``p_text`` without the row being judged. The score's odds are the text's odds
+    times what the path's odds are above the sample's; ``keep`` is score >= ``limit``. Null or empty texts are judged by their (zero)
     features; a null host or path is a site of its own; labels that are null, or of unknown ids, count
     for nothing, and of several labels for an id the lowest counts. Without labels, or with one class
     only, every text looks alike and is kept. All rows and columns stay, columns of the five names are
@@ -157,7 +158,12 @@ def score_documents(df: DataFrame, labels: DataFrame, id_column: str = "doc_id",
         df.select(F.col(id_column).alias("__id"), F.col(host).alias("__host"), F.col(path).alias("__path"),
                   features_of(F.col(text)).alias("__features")).join(known, "__id", "left"), "quality-features")
     labelled = rows.where("__label IS NOT NULL")
-    sample = labelled.orderBy(F.xxhash64("__id")).limit(sample_rows).select("__features", "__label").toPandas()
+    # A bound on the hash leaves somewhat more than the rows wanted, so that tasks send no more than these.
+    share_wanted = (sample_rows + 6 * sample_rows**0.5) / max(labelled.count(), 1)
+    drawn = labelled.withColumn("__hash", F.xxhash64("__id"))
+    if share_wanted < 1:
+        drawn = drawn.where(F.col("__hash") < F.lit(int(share_wanted * 2**64) - 2**63))
+    sample = drawn.orderBy("__hash").limit(sample_rows).select("__features", "__label").toPandas()
     good = sample["__label"].to_numpy(dtype=float)
     model = fit(np.stack(sample["__features"]) if len(good) else np.zeros((0, len(FEATURES))), good)
     one_class = len(good) == 0 or good.min() == good.max()

@@ -352,6 +352,93 @@ def test_classifier_with_odd_rows_and_labels(spark, docs):
     assert quality.score_documents(docs.limit(0), labels).count() == 0
 
 
+def sites(spark):
+    """Clean and spoilt texts by site: (documents, labels); texts numbered from 9000 on are of mixed quality."""
+    pick = np.random.default_rng(12)
+    plain = [f"{a}{b}" for a in ("river", "market", "paper", "winter", "garden") for b in ("", "s", "side")]
+
+    def text(spoilt):
+        """A share of the words is shouted or made of signs."""
+        return ". ".join(" ".join(w if pick.random() > spoilt else pick.choice([w.upper() + "!!!", "$$$ ###", "BUY"])
+                                  for w in pick.choice(plain, 9)) for _ in range(6))
+
+    rows, labels = [], []
+    for k in range(600):
+        host, good = ("fine", k % 20 != 0) if k % 3 == 0 else ("foul", k % 20 == 1) if k % 3 == 1 else (f"wide{k % 11}", k % 2 == 0)
+        rows.append((k, text(0.02 if good else 0.6), host, "xy"[k % 2]))
+        if k % 2 == 0 or host.startswith("wide"):
+            labels.append((k, int(good)))
+    rows += [(9000 + k, text(0.05 + 0.0125 * k), "?", "x") for k in range(40)]
+    names = "doc_id long, text string, source string, lang string"
+    return rows, names, spark.createDataFrame(labels, "doc_id long, quality int")
+
+
+def test_posteriors_equal_those_reckoned_by_hand(spark):
+    rows, names, labels = sites(spark)
+    rows += [(9100, None, None, None), (9101, "", None, "x"), (9102, rows[0][1], "once", None)]
+    got = rows_of(quality.score_documents(spark.createDataFrame(rows, names), labels))
+    assert len(got) == len(rows)
+    p = np.array([r["p_text"] for r in got])
+    host = np.array([str(r["source"]) for r in got])
+    path = np.array([f"{r['source']} {r['lang']}" for r in got])
+    known = [x.quality for x in labels.collect()]
+    prior = (sum(known) + 0.5) / (len(known) + 1)
+
+    def strength(names_of, centre):
+        """Worth of the prior in documents, from the spread of site means that chance does not explain."""
+        between = noise = 0.0
+        for name in set(names_of):
+            q = p[names_of == name]
+            between += len(q) * (q.mean() - centre(name)) ** 2 / len(p)
+            noise += len(q) * (q.var() / len(q)) / len(p)
+        whole = p.mean()
+        return min(max(whole * (1 - whole) / max(between - noise, 1e-9) - 1, 1.0), 1e6)
+
+    of_host = {name: p[host == name].mean() for name in set(host)}
+    strong_host = strength(host, lambda name: p.mean())
+    strong_path = strength(path, lambda name: of_host[host[path == name][0]])
+    logit = lambda x: math.log(x / (1 - x))
+    for k, r in enumerate(got):
+        others_host, others_path = host == host[k], path == path[k]
+        h = (strong_host * p.mean() + p[others_host].sum() - p[k]) / (strong_host + others_host.sum() - 1)
+        assert r["host_posterior"] == pytest.approx(h, rel=1e-9)
+        q = (strong_path * h + p[others_path].sum() - p[k]) / (strong_path + others_path.sum() - 1)
+        assert r["path_posterior"] == pytest.approx(q, rel=1e-9)
+        score = 1 / (1 + math.exp(-(logit(p[k]) - logit(prior) + logit(q))))
+        assert r["score"] == pytest.approx(score, rel=1e-9) and r["keep"] == (score >= 0.5)
+
+
+def test_sites_change_decisions(spark):
+    rows, names, labels = sites(spark)
+
+    def kept(host):
+        placed = [(i, t, host if h == "?" else h, path) for i, t, h, path in rows]
+        got = rows_of(quality.score_documents(spark.createDataFrame(placed, names), labels))
+        doubtful = {r["doc_id"]: r for r in got if r["doc_id"] >= 9000}
+        return {i for i, r in doubtful.items() if r["keep"]}, got
+
+    (fine, at_fine), (foul, _) = kept("fine"), kept("foul")
+    # The same texts at another site: the good site's come through, none of the bad one's alone does.
+    assert foul < fine and len(fine) - len(foul) >= 2
+    # Sparse sites stay near the global share, large ones go their own way.
+    standing = {r["source"]: r["host_posterior"] for r in at_fine}
+    whole = np.mean([r["p_text"] for r in at_fine])
+    assert standing["foul"] < whole < standing["fine"]
+    lone = [(i, t, f"lone{i}" if h == "?" else h, path) for i, t, h, path in rows]
+    got = rows_of(quality.score_documents(spark.createDataFrame(lone, names), labels))
+    alone = [r["host_posterior"] for r in got if r["doc_id"] >= 9000]
+    assert alone == pytest.approx([np.mean([r["p_text"] for r in got])] * 40)
+
+
+def test_sample_of_labels_is_bounded(spark, small):
+    """Fitted on fewer labelled rows than there are, the model judges much the same."""
+    docs, labels = (spark.read.parquet(f"{small}/../sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    assert labels.count() > 300
+    full, part = ({r["doc_id"]: r["keep"] for r in rows_of(quality.score_documents(docs, labels, sample_rows=n))}
+                  for n in (50_000, 200))
+    assert np.mean([full[i] == part[i] for i in full]) > 0.95
+
+
 def test_main_text(spark):
     page = ("<html><head><title>T</title><style>p{}</style></head><body><nav><a href=/>Home</a></nav><div class='ad'>Buy, now.</div>"
             "<article><h1>A &amp; B</h1><p>First  line,<br>goes\non.<p>Second <b>bold</b> one.<!-- no --><script>x('</p>')</script>"
