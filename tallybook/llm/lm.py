@@ -6,13 +6,14 @@ count of v, p(w | v) = W c(v, w) / c(v) + (1 - W) p(w), and p(w) alone after an
 counts never add up to more than c(v), so that the probabilities of all words stay below one, but
 for the filter's rare false hits. A false hit cannot exceed c(v) or c(w) either, which are known exactly.
 
-Most bigrams of a corpus occur once and tell little of other texts. Only those seen ``least`` times, twice
-by default, are held: a fraction of the keys, so that the same bits err far more rarely.
+All bigrams of the training texts are held, those seen once too: a copy of a text tells by them.
 
 Texts are handled in chunks of a few megabytes: a chunk has its distinct words, sorted by hash, and
 its texts as places in that list. Counts of chunks are added up in segments of the hash range and
-come back to each chunk for its own words, once; the passes over the filter's parts then read stored
-chunks and shuffle nothing. All rows that are shuffled are such bounded blocks, packed.
+come back to each chunk for its own words, once. Bigrams go the same way: a chunk sends its distinct
+ones to the segments of the filter, and each segment, filled from the training texts' own, is probed
+there for all of them. So the filter is never in one place, and the work grows with the texts. All rows
+that are shuffled are such bounded blocks, packed.
 """
 
 from __future__ import annotations
@@ -32,15 +33,15 @@ CHUNK_BYTES = 1 << 23
 # Distinct words of chunks that one segment adds up.
 SEGMENT_WORDS = 1 << 19
 # A segment of the filter, and its hash functions per level.
-SEGMENT_BITS = 1 << 23
+SEGMENT_BITS = 1 << 25
 PROBES = 8
-# Bits per training token. A bigram seen c times has floor(log2 c) levels from the second on, so there are
-# at least twice as many bits per key; where most bigrams occur once, some seven times as many.
-BITS_PER_TOKEN = 4
+# Bits per training token. A bigram seen c times has 1 + floor(log2 c) levels, so there are at least as many
+# bits per key.
+BITS_PER_TOKEN = 16
 # Bigrams with fewer occurrences are not held; a power of two.
-LEAST = 2
-# The filter is broadcast in parts of at most so many bytes, one pass over the chunks for each.
-PART_BYTES = 64 << 20
+LEAST = 1
+# Segments that one task fills and probes together have at most so many bytes, or are a single one.
+PART_BYTES = 4 << 20
 # Weight of the bigram's share against the single word's probability.
 WEIGHT = 0.25
 
@@ -141,25 +142,34 @@ def _keys(hashes: np.ndarray) -> np.ndarray:
     return hashes & np.uint64(0xFFFFFFFF)
 
 
+def _placed(hashes: np.ndarray, segments: int) -> np.ndarray:
+    """Segment and key of each bigram in one number, the order in which chunks list their bigrams."""
+    return (_segment(hashes, segments).astype(np.uint64) << np.uint64(32)) | _keys(hashes)
+
+
 def _bigram_blocks(batches, segments: int):
+    """Distinct bigrams of each chunk with their occurrences in training, which are none for held-out texts' own."""
     for batch in batches:
         for row in range(len(batch)):
-            held, lengths = (batch.column(k)[row].values.to_numpy(zero_copy_only=False) for k in range(2))
-            words, vocabulary = unpack(batch.column(2)[row].as_py(), "<u4"), unpack_sorted(batch.column(3)[row].as_py(), "<u8")
+            held, lengths = (batch.column(k)[row].values.to_numpy(zero_copy_only=False) for k in (1, 2))
+            words, vocabulary = unpack(batch.column(3)[row].as_py(), "<u4"), unpack_sorted(batch.column(4)[row].as_py(), "<u8")
             hashes, text = _bigrams(words, lengths, vocabulary)
-            hashes = hashes[~held[text]]
-            hashes = np.sort((_segment(hashes, segments).astype(np.uint64) << np.uint64(32)) | _keys(hashes))
-            first = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]))
-            counts = np.diff(first, append=len(hashes))
-            hashes = hashes[first]
-            owner = (hashes >> np.uint64(32)).astype(np.int64)
+            # The lowest bit tells training from held-out texts.
+            placed = np.sort((_placed(hashes, segments) << np.uint64(1)) | ~held[text])
+            counts = (placed & np.uint64(1)).astype(np.int64)
+            placed >>= np.uint64(1)
+            first = np.flatnonzero(np.diff(placed, prepend=~placed[:1]))
+            counts = np.add.reduceat(counts, first) if len(first) else counts
+            placed = placed[first]
+            owner = (placed >> np.uint64(32)).astype(np.int64)
             begins = np.flatnonzero(np.diff(owner, prepend=-1))
-            rows = [(int(owner[x]), pack_sorted(_keys(hashes[x:y]), "<u4"), pack(counts[x:y], "<u4"))
-                    for x, y in zip(begins, [*begins[1:], len(hashes)])]
+            rows = [(int(owner[x]), pack_sorted(_keys(placed[x:y]), "<u4"), pack(counts[x:y], "<u4"))
+                    for x, y in zip(begins, [*begins[1:], len(placed)])]
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in rows], pa.int32()), *(pa.array([x[k] for x in rows]) for k in (1, 2))],
-                    names=["segment", "hashes", "counts"])
+                    [pa.array([batch.column(0)[row].as_py()] * len(rows)),
+                     pa.array([x[0] for x in rows], pa.int32()), *(pa.array([x[k] for x in rows]) for k in (1, 2))],
+                    names=["chunk", "segment", "hashes", "counts"])
 
 
 def _places(hashes: np.ndarray, level: int, probe: int, segment_bits: int) -> np.ndarray:
@@ -194,44 +204,55 @@ def _counts_from(filter_bits: np.ndarray, hashes: np.ndarray, segment: np.ndarra
     return found
 
 
-def _score_rows(batches, filter_bits, first: int, beyond: int, segments: int, n: int, v: int, docs: int, weight: float,
-                lowest: int, segment_bits: int):
-    """A row per chunk: the scores of its texts, of the bigrams in the segments from ``first`` to ``beyond`` alone.
-
-    The first pass gives the other columns too.
-    """
-    filter_bits = filter_bits.value
+def _probe_part(rows: pd.DataFrame, lowest: int, segment_bits: int) -> pd.DataFrame:
+    """Fills some segments of the filter and probes each for the bigrams of all chunks: their levels, 0 for none."""
+    found = []
+    for segment, own in rows.groupby("segment"):
+        bits = np.frombuffer(_fill_segment(own, lowest, segment_bits)["bits"].iloc[0], np.uint8)
+        parts = [unpack_sorted(x, "<u4").astype(np.uint64) for x in own["hashes"]]
+        hashes, place = np.unique(np.concatenate(parts), return_inverse=True)
+        counts = _counts_from(bits, hashes, np.zeros(len(hashes), np.int64), lowest, segment_bits)
+        levels = np.frexp(counts)[1].astype(np.uint8)
+        ends = np.cumsum([len(x) for x in parts])
+        found.append(pd.DataFrame({
+            "chunk": own["chunk"].to_numpy(), "segment": segment,
+            "levels": [pack(levels[place[e - len(x):e]], "u1") for x, e in zip(parts, ends)]}))
+    return pd.concat(found)
+
+
+def _score_rows(batches, segments: int, n: int, v: int, docs: int, weight: float):
+    """A row per chunk: the figures of its texts."""
     for batch in batches:
+        names = batch.schema.names
         for row in range(len(batch)):
-            names = batch.schema.names
             at = lambda name: batch.column(names.index(name))[row]  # noqa: E731, B023
+            joined = lambda name, kind: np.concatenate(
+                [unpack(x[name], kind) for x in sorted(at(name).as_py() or [], key=lambda x: x["segment"])]  # noqa: B023
+                or [np.zeros(0, kind)])
             lengths = at("lengths").values.to_numpy()
             words, vocabulary = unpack(at("words").as_py(), "<u4"), unpack_sorted(at("vocabulary").as_py(), "<u8")
-            blocks = sorted((x["segment"], x["totals"]) for x in (at("totals").as_py() or []))
-            total = np.concatenate([unpack(x, "<i8") for _, x in blocks] or [np.zeros(0, np.int64)])
+            total = joined("totals", "<i8")
             hashes, text = _bigrams(words, lengths, vocabulary)
             ends = np.cumsum(lengths)
             count = np.insert(total[words], ends, docs).astype(np.float64)
             context = np.empty_like(count)
             context[1:] = count[:-1]
             context[np.concatenate([[0], (ends + np.arange(1, len(lengths) + 1))[:-1]])] = docs
-            segment = _segment(hashes, segments)
-            mine = np.flatnonzero((segment >= first) & (segment < beyond))
-            joint = _counts_from(filter_bits, _keys(hashes[mine]), segment[mine] - first, lowest, segment_bits)
-            joint = np.minimum(joint, np.minimum(context[mine], count[mine]))
-            share = weight * (context[mine] > 0)
-            single = (count[mine] + 1) / (n + v + 1)
-            score = np.log10(share * joint / np.maximum(context[mine], 1) + (1 - share) * single)
+            _, place = np.unique(_placed(hashes, segments), return_inverse=True)
+            levels = joined("levels", "u1")[place].astype(np.int64)
+            joint = np.where(levels > 0, np.exp2(levels - 1.0), 0.0)
+            joint = np.minimum(joint, np.minimum(context, count))
+            share = weight * (context > 0)
+            single = (count + 1) / (n + v + 1)
+            score = np.log10(share * joint / np.maximum(context, 1) + (1 - share) * single)
             rows = len(lengths)
             one = lambda x: _lists(x, [0, rows], x.type if isinstance(x, pa.Array) else None)  # noqa: E731, B023
-            columns = {"chunk": pa.array([at("chunk").as_py()]), "part": pa.array([first], pa.int32()),
-                       "score": one(np.bincount(text[mine], score, rows).astype(np.float64))}
-            if first == 0:
-                columns |= {
-                    "doc_id": one(at("doc_ids").values), "held_out": one(at("held").values),
-                    "n_tokens": one(lengths.astype(np.int64) + 1),
-                    "n_known": one(np.bincount(text, count > 0, rows).astype(np.int64)),
-                    "base_score": one(np.bincount(text, np.log10((count + 1) / (n + v + 1)), rows))}
+            columns = {
+                "doc_id": one(at("doc_ids").values), "held_out": one(at("held").values),
+                "n_tokens": one(lengths.astype(np.int64) + 1),
+                "n_known": one(np.bincount(text, count > 0, rows).astype(np.int64)),
+                "base_score": one(np.bincount(text, np.log10(single), rows)),
+                "score": one(np.bincount(text, score, rows).astype(np.float64))}
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
@@ -247,10 +268,9 @@ def score_texts(df: DataFrame, held_out: Column, id_column: str = "doc_id", text
     end alone. Repeated rows and null ids come out like others; an empty table gives an empty one. If
     nothing is held in training, N is 0 and all tokens are unknown.
 
-    The filter's size follows the training tokens. It is broadcast in parts of at most ``part_bytes``,
-    and each bigram is scored in the pass that has its part, so results do not depend on the parts.
+    The filter's size follows the training tokens. It is filled and probed in parts of at most ``part_bytes``,
+    each by one task, so results do not depend on the parts.
     """
-    spark = df.sparkSession
     lowest = least.bit_length()
     kind = df.schema[id_column].dataType.simpleString()
     chunks = stage(
@@ -270,47 +290,24 @@ def score_texts(df: DataFrame, held_out: Column, id_column: str = "doc_id", text
     distinct = (counted.agg(F.sum("n_known")).first()[0] or 0) + (1 if docs else 0)
 
     segments = max(1, -(-train_tokens * BITS_PER_TOKEN // segment_bits))
-    held_bits = stage(
-        chunks.select("held", "lengths", "words", "vocabulary")
-        .mapInArrow(lambda b: _bigram_blocks(b, segments), "segment int, hashes binary, counts binary")
-        .groupBy("segment").applyInPandas(lambda x: _fill_segment(x, lowest, segment_bits), "segment int, bits binary"), "filter", codec="none")
-
-    back = counted.groupBy("chunk").agg(F.collect_list(F.struct("segment", "totals")).alias("totals"))
-    ready = stage(chunks.select("chunk", "doc_ids", "held", "lengths", "words", "vocabulary")
-                  .join(back, "chunk", "left"), "counted-chunks")
-    discard(chunks, counted)
-
-    width = segment_bits // 8
-    each = max(1, part_bytes // width)
-    scores, others = "chunk string, part int, score array<double>", (
-        f", doc_id array<{kind}>, held_out array<boolean>, n_tokens array<bigint>, n_known array<bigint>, "
-        "base_score array<double>")
-    passes = []
-    for first in range(0, segments, each):
-        beyond = min(first + each, segments)
-        # At most part_bytes.
-        part = np.zeros((beyond - first) * width, np.uint8)
-        for row in held_bits.where((F.col("segment") >= first) & (F.col("segment") < beyond)).toLocalIterator():
-            at = (row["segment"] - first) * width
-            part[at:at + width] = np.frombuffer(row["bits"], np.uint8)
-        sent = spark.sparkContext.broadcast(part)
-        del part
-        passes.append(stage(ready.mapInArrow(
-            lambda b, sent=sent, first=first, beyond=beyond: _score_rows(
-                b, sent, first, beyond, segments, train_tokens, distinct, docs, weight, lowest, segment_bits),
-            scores + (others if first == 0 else "")), "scores"))
-        sent.destroy()
-    discard(ready, held_bits)
-
-    found = passes[0]
-    for other in passes[1:]:
-        found = found.unionByName(other, allowMissingColumns=True)
-    columns = ("doc_id", "held_out", "n_tokens", "n_known", "base_score")
-    found = found.groupBy("chunk").agg(
-        *(F.first(x, ignorenulls=True).alias(x) for x in columns),
-        F.array_sort(F.collect_list(F.struct("part", "score"))).alias("parts"))
-    none = F.transform("base_score", lambda _: F.lit(0.0))
-    score = F.aggregate("parts", none, lambda done, x: F.zip_with(done, x["score"], lambda a, b: a + b))
-    return found.select(F.inline(F.arrays_zip(*columns, score.alias("score")))).select(
+    each = max(1, part_bytes // (segment_bits // 8))
+    probed = stage(
+        chunks.select("chunk", "held", "lengths", "words", "vocabulary")
+        .mapInArrow(lambda b: _bigram_blocks(b, segments), "chunk string, segment int, hashes binary, counts binary")
+        .groupBy(F.expr(f"segment div {each}"))
+        .applyInPandas(lambda x: _probe_part(x, lowest, segment_bits), "chunk string, segment int, levels binary"),
+        "levels", codec="none")
+
+    ready = chunks.select("chunk", "doc_ids", "held", "lengths", "words", "vocabulary")
+    for table, name in ((counted, "totals"), (probed, "levels")):
+        ready = ready.join(
+            table.groupBy("chunk").agg(F.collect_list(F.struct("segment", name)).alias(name)), "chunk", "left")
+    columns = ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")
+    found = stage(ready.mapInArrow(
+        lambda b: _score_rows(b, segments, train_tokens, distinct, docs, weight),
+        f"doc_id array<{kind}>, held_out array<boolean>, n_tokens array<bigint>, n_known array<bigint>, "
+        "base_score array<double>, score array<double>"), "scores")
+    discard(chunks, counted, probed)
+    return found.select(F.inline(F.arrays_zip(*columns))).select(
         "doc_id", "held_out", "n_tokens", "n_known",
         F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -304,6 +304,16 @@ def test_scores_equal_brute_force(spark, docs, least, weight):
             assert r["score"] == pytest.approx(sum(map(log_p, w, w[1:])))
 
 
+def test_bigrams_seen_once_are_held(spark):
+    """A held-out copy of a training text scores above the same words in another order."""
+    words_ = [f"word{k}" for k in range(40)]
+    df = spark.createDataFrame([(1, " ".join(words_)), (2, " ".join(words_)), (3, " ".join(words_[::-1]))],
+                               "doc_id long, text string")
+    got = {r["doc_id"]: r for r in rows_of(lm.score_texts(df, F.col("doc_id") > 1))}
+    assert got[2]["base_score"] == pytest.approx(got[3]["base_score"])
+    assert got[2]["score"] == pytest.approx(got[1]["score"]) and got[2]["score"] > got[3]["score"] + 10
+
+
 def test_words_after_a_word_share_its_count():
     """At the designed load the counts of all words after a word hardly exceed that word's own."""
     import pandas as pd
