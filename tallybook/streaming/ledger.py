@@ -90,11 +90,11 @@ class Ledger:
     # --- rows ----------------------------------------------------------------------------
 
     @staticmethod
-    def _marked(df: DataFrame, schema: T.StructType) -> DataFrame:
-        """The record's columns in their types, its fingerprint and its month."""
+    def _marked(df: DataFrame, schema: T.StructType, *others: str) -> DataFrame:
+        """The record's columns in their types, its fingerprint and its month, and ``others`` as they are."""
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
         whole = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-        return df.select(*columns, F.md5(whole.cast("binary")).alias("fingerprint"), _month().alias("month"))
+        return df.select(*columns, F.md5(whole.cast("binary")).alias("fingerprint"), _month().alias("month"), *others)
 
     def _filled(self, gaps: DataFrame, statistics: imputation.Statistics, schema: T.StructType) -> DataFrame:
         rows = gaps.withColumn("total_spent", F.lit(None).cast("decimal(18,2)"))
@@ -128,8 +128,10 @@ class Ledger:
         schema = self._schema(last) if done else standardised.drop("total_spent").schema
         stored = self._stored(schema)
 
-        arrived = stage_table(
-            self._marked(standardised, schema).groupBy(*stored.names).agg(F.count(F.lit(1)).alias("copies")), "arrived")
+        # The columns decide the fingerprint, which need not travel.
+        counted = standardised.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).groupBy(
+            *schema.names).agg(F.count(F.lit(1)).alias("copies"))
+        arrived = stage_table(self._marked(counted, schema, "copies"), "arrived")
         months = [r.month for r in arrived.select("month").distinct().collect()]
 
         # New records: the fingerprints of the batch's own months are all that is read of the history.
@@ -180,12 +182,13 @@ class Ledger:
             sides = sides.unionByName(side(self._filled(gaps, self._statistics(done[-1]), schema), 1, 0))
         names = [n for n in stored.names if n not in ("month", "fingerprint")]
         moved = (
-            sides.groupBy("month", "fingerprint")
-            .agg(F.max("old").alias("old"), F.max("new").alias("new"), F.any_value(F.struct(*names)).alias("row"))
+            # Grouped by all columns, which the fingerprint stands for, rows are hashed and not sorted.
+            sides.repartition("month", "fingerprint").groupBy("month", "fingerprint", *names)
+            .agg(F.max("old").alias("old"), F.max("new").alias("new"))
             .where("old <> new")
             # Complete records of the history are there before and after.
             .join(before.select("month", "fingerprint"), ["month", "fingerprint"], "left_anti")
-            .select("month", "row.*", (F.col("new") - F.col("old")).alias("sign"))
+            .select("month", *names, (F.col("new") - F.col("old")).alias("sign"))
         )
         moved = stage_table(moved, "moved")
         sales = self._costed(moved)
