@@ -3,10 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallybook.config import Vocabulary
 from tallybook.operators import aggregates, cleaning, features, imputation
 from tallybook.plans import clean, registry
+from tallybook.sources import staging
 from tallybook.sources.sample_tables import SAMPLE, SAMPLE_COST_RATES, raw_sales
 
 
@@ -98,3 +100,30 @@ def test_windows_never_see_sales_rows(spark, small):
     tables = registry.Tables(spark, small)
     for df in (tables.standardised(), tables.clean(), tables.costed()):
         assert "Window" not in plan(df)
+
+
+def test_lines_travel_for_part_and_order_alone(spark, small):
+    """Orders meet buyers below the join with the lines, not after it."""
+    text = raw_sales(spark, small)._jdf.queryExecution().analyzed().toString()
+    assert text.index("(l_orderkey") < text.index("(o_custkey")
+
+
+def test_passes_over_the_records_share_one_join_of_the_tables(spark, small):
+    t = registry.Tables(spark, small)
+    for rows in (t.clean(), t.clean_v1(), imputation.value_counts(t.records())):
+        assert rows.inputFiles() and not any("lineitem" in f for f in rows.inputFiles())
+
+
+def test_sales_of_a_group_are_gathered_in_few_tasks(spark):
+    rows = [(f"T{k}", f"2023-01-0{1 + k % 2}", "Cake", "Cash", "Shop", k % 5) for k in range(400)]
+    df = spark.createDataFrame(
+        rows, "transaction_id string, transaction_date string, item string, payment_method string, location string, n int")
+    found = aggregates.gathered(df.repartition(16), 2)
+    assert sorted(found.collect()) == sorted(df.collect())
+    spread = found.groupBy("transaction_date").agg(F.count_distinct(F.spark_partition_id()).alias("tasks"))
+    assert all(r.tasks <= 2 for r in spread.collect())
+
+
+def test_staged_files_have_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(staging, "FILE_ROWS", 100)
+    assert len(staging.stage_table(spark.range(1000, numPartitions=1), "few").inputFiles()) == 10
