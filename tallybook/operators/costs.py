@@ -9,8 +9,9 @@ from tallybook.functions.numbers import pct
 from tallybook.operators.features import RATE
 from tallybook.schemas import MONEY
 
-# Parts that the sales of an item are dealt over.
-PARTS = 32
+# Parts that the sales of an item are dealt over. The rows of a part are held together: a part of a hundred
+# million sales of one item still fits in the memory of a task.
+PARTS = 128
 
 
 def with_rate_as_of(sales: DataFrame, rates: DataFrame, parts: int = PARTS) -> DataFrame:
@@ -24,19 +25,22 @@ def with_rate_as_of(sales: DataFrame, rates: DataFrame, parts: int = PARTS) -> D
     """
     single = (
         rates.where(F.col("item").isNotNull() & F.col("valid_from").isNotNull())
-        .groupBy("item", F.col("valid_from").cast("date").alias("day")).agg(F.max(F.col("cogs_rate").cast(RATE)).alias("rate"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        .groupBy("item", F.col("valid_from").cast("date").alias("transaction_date"))
+        .agg(F.max(F.col("cogs_rate").cast(RATE)).alias("__rate"))
+        .withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        .withColumn("__sale", F.lit(False))
     )
-    rows = sales.select(
-        F.struct(*sales.columns).alias("sale"), F.col("item"), F.col("transaction_date").alias("day"),
-        F.pmod(F.xxhash64(*sales.columns), F.lit(parts)).cast("int").alias("part"))
-    both = rows.withColumn("rate", F.lit(None).cast(RATE)).unionByName(single, allowMissingColumns=True)
+    # Sales travel as they are, with their part alone.
+    rows = sales.withColumns({
+        "__rate": F.lit(None).cast(RATE), "__sale": F.lit(True),
+        "__part": F.pmod(F.xxhash64(*sales.columns), F.lit(parts)).cast("int")})
+    both = rows.unionByName(single, allowMissingColumns=True)
     # A rate of the same day comes before the sales; null days come first and find nothing.
-    before = Window.partitionBy("item", "part").orderBy("day", F.col("sale").isNotNull()).rowsBetween(
+    before = Window.partitionBy("item", "__part").orderBy("transaction_date", "__sale").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return (
-        both.withColumn("cogs_rate", F.last("rate", ignorenulls=True).over(before))
-        .where(F.col("sale").isNotNull()).select("sale.*", "cogs_rate")
+        both.withColumn("cogs_rate", F.last("__rate", ignorenulls=True).over(before))
+        .where("__sale").select(*sales.columns, "cogs_rate")
     )
 
 

@@ -5,6 +5,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import frames
 from tallybook.operators import costs
@@ -49,3 +50,25 @@ def test_repeated_sales_stay_and_no_join_by_range(spark):
     assert priced.count() == 6
     text = priced._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in text and "CartesianProduct" not in text
+
+
+def test_sales_travel_without_a_copy_of_their_columns(spark):
+    priced = costs.with_rate_as_of(frames.clean(spark, ("Tea", 1, 10, "2023-02-03")), spark.createDataFrame(RATES, SCHEMA))
+    text = priced._jdf.queryExecution().executedPlan().toString()
+    assert "struct" not in text and text.count("Exchange hashpartitioning(item") >= 1
+
+
+def test_columns_called_like_those_of_the_rates_stay(spark):
+    sales = frames.clean(spark, ("Tea", 1, 10, "2023-01-20"), ("Cake", 1, 10, "2023-01-20"))
+    named = sales.selectExpr("*", "'a' AS rate", "'b' AS part", "'c' AS day").withColumn("location", F.lit(None).cast("string"))
+    found = costs.with_rate_as_of(named, spark.createDataFrame(RATES, SCHEMA)).collect()
+    assert {(r.item, r.rate, r.part, r.day, r.location, r.cogs_rate) for r in found} == {
+        ("Tea", "a", "b", "c", None, Decimal("0.50")), ("Cake", "a", "b", "c", None, None)}
+
+
+def test_an_item_is_dealt_over_more_tasks_than_a_core_has(spark):
+    """A part is held in memory as a whole, so parts must stay small on large tables."""
+    sales = frames.clean(spark, *[("Tea", 1, 10, "2023-02-03")] * 4).crossJoin(spark.range(500)).withColumn(
+        "transaction_id", F.concat("transaction_id", F.lit("-"), "id")).drop("id")
+    dealt = sales.select(F.pmod(F.xxhash64(*sales.columns), F.lit(costs.PARTS)).alias("part")).groupBy("part").count()
+    assert dealt.agg(F.max("count")).first()[0] < 2000 / 32
