@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import frames
 from tallybook.config import CHECKED_TOKENS_V1, INVALID_TOKENS, READER_NULLS, SHOP, SHOP_V1
+from tallybook.functions import text
 from tallybook.operators import cleaning, imputation, profiling, validation
 from tallybook.plans import clean
 from tallybook.sources import files
@@ -283,3 +284,10 @@ def test_csv_files_may_order_their_columns_differently(spark, folder):
     assert (rows["A"].item, rows["A"].location, rows["A"].note) == ("Cake", "In\nStore", None)
     assert (rows["B"].item, rows["B"].transaction_date, rows["B"].note) == ("Tea", "2023-01-06", "hello")
     assert files.malformed_records(raw, "broken").first() == (3, 1)
+
+
+def test_text_is_trimmed_once_a_column(spark):
+    df = spark.createDataFrame([(" a ",), ("ERROR",), (" ERROR ",), ("\u00a0",), ("",), (None,)], "t string")
+    found = df.select(text.known_text(F.col("t"), ("ERROR", "")).alias("t"))
+    assert [r.t for r in found.collect()] == ["a", None, "ERROR", None, None, None]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("trim(") == 1
