@@ -25,7 +25,8 @@ def run_features(clean: DataFrame, output_path: str, file_format: str = "parquet
     are checked for the flat rate alone; per-item rates have no single one.
     """
     figures = Figures(clean.sparkSession)
-    rows = features.engineer(clean, rates, default_rate)
+    partitions = ("year_month",) if file_format == "parquet" else ()
+    rows = features.engineer(features.gathered_by_month(clean) if partitions else clean, rates, default_rate)
     rows = figures.watch(rows, "features", validation.feature_figures(rows, default_rate))
     rows = figures.watch(rows, "margin", validation.margin_figures())
 
@@ -39,8 +40,7 @@ def run_features(clean: DataFrame, output_path: str, file_format: str = "parquet
             warnings.warn(f"margin {margin.actual_margin_pct:.2f}, expected {margin.expected_margin_pct:.2f}",
                           stacklevel=2)
 
-    partitions = ("year_month",) if file_format == "parquet" else ()
-    return files.publish_table(rows, output_path, check, file_format, partitions, versions)
+    return files.publish_table(rows, output_path, check, file_format, partitions, versions, rebalance=False)
 
 
 def sales_rollup(engineered: DataFrame) -> DataFrame:

@@ -167,14 +167,16 @@ def read_engineered(spark: SparkSession, path: str, file_format: str = "parquet"
 
 
 def write_table(df: DataFrame, path: str, file_format: str = "parquet",
-                partition_by: tuple[str, ...] = ()) -> None:
+                partition_by: tuple[str, ...] = (), rebalance: bool = True) -> None:
     """Overwrite ``path`` with ``df``; missing parent folders are created.
 
     With ``partition_by`` the rows are first rebalanced on those columns, so a
     month is written by a few tasks rather than by all of them, and adaptive
-    execution splits a month that is much larger than the rest.
+    execution splits a month that is much larger than the rest. ``rebalance=False``
+    leaves that out for rows that are together already, such as those of
+    :func:`tallybook.operators.features.gathered_by_month`.
     """
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
@@ -214,7 +216,7 @@ def forget_versions(spark: SparkSession, path: str, keep: Iterable[str]) -> None
 
 def publish_table(df: DataFrame, path: str, check: Callable[[], None] = lambda: None,
                   file_format: str = "parquet", partition_by: tuple[str, ...] = (),
-                  versions: bool = False) -> DataFrame:
+                  versions: bool = False, rebalance: bool = True) -> DataFrame:
     """Write ``df`` once beside ``path``, then put it in its place.
 
     ``check`` runs once the rows are written; if it raises, they are removed and ``path`` stays as it was.
@@ -230,7 +232,7 @@ def publish_table(df: DataFrame, path: str, check: Callable[[], None] = lambda:
     version = f"v-{uuid.uuid4().hex}"
     pending = f"{root}/{VERSIONS}/{version}" if versions else f"{root}.pending-{version}"
     before = current_version(spark, path)
-    write_table(df, pending, file_format, partition_by)
+    write_table(df, pending, file_format, partition_by, rebalance)
     new, store = _hadoop(spark, pending)
     try:
         check()

@@ -89,3 +89,23 @@ def test_run_features_round_trip(spark, folder):
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_travel_to_their_month_before_columns_are_derived(spark, folder, monkeypatch):
+    written = []
+    monkeypatch.setattr(files, "write_table", lambda df, *rest, write=files.write_table: written.append(df) or write(df, *rest))
+    clean = frames.clean(spark, ("Tea", 1, 1, "2023-01-01"), ("Tea", 2, 1, "2023-02-01"), ("Tea", 2, 1, "2023-02-01"))
+    engineered.run_features(clean, f"{folder}/out")
+    text = written[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("RebalancePartitions") == 1
+    travels = text.split("RebalancePartitions")[1]
+    assert "year_month" in travels and "revenue" not in travels and "quarter_label" not in travels
+    back = files.read_engineered(spark, f"{folder}/out")
+    assert sorted(back.collect()) == sorted(features.engineer(clean).select(*back.columns).collect())
+
+
+def test_rows_that_are_together_are_not_dealt_again(spark, folder):
+    rows = features.engineer(features.gathered_by_month(frames.clean(spark, ("Tea", 1, 1, "2023-01-01"))))
+    files.write_table(rows, f"{folder}/sales", "parquet", ("year_month",), rebalance=False)
+    files.write_table(rows.drop("quarter"), f"{folder}/again", "parquet", ("year_month",))
+    assert [os.listdir(f"{folder}/{f}").count("year_month=2023-01") for f in ("sales", "again")] == [1, 1]
