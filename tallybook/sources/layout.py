@@ -8,7 +8,7 @@ row groups out, whichever of the columns is filtered.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -74,11 +74,17 @@ def clustered(df: DataFrame, columns: Sequence[str], within: Sequence[str] = ())
 
 
 def write_clustered(df: DataFrame, path: str, columns: Sequence[str], partition_by: Sequence[str] = (),
-                    row_group_bytes: int = 16 << 20) -> None:
+                    row_group_bytes: int = 16 << 20,
+                    derive: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
     """Overwrite ``path`` with Parquet files clustered by ``columns`` within each of ``partition_by``.
 
     ``df`` is read once per column to count its values and twice to sort by range: store it first if it
-    is costly. Smaller row groups skip more and compress less.
+    is costly. Smaller row groups skip more and compress less. ``derive`` adds columns row by row once the
+    rows are in order, so that these neither travel nor are sorted.
     """
-    writer = clustered(df, columns, partition_by).write.mode("overwrite").option("parquet.block.size", row_group_bytes)
+    # The columns of the order keep their identity, or the writer would sort the rows anew.
+    held = {c: f"__{c}" for c in partition_by}
+    rows = derive(clustered(df, columns, partition_by).withColumns({h: F.col(c) for c, h in held.items()}))
+    rows = rows.drop(*held).withColumnsRenamed({h: c for c, h in held.items()})
+    writer = rows.write.mode("overwrite").option("parquet.block.size", row_group_bytes)
     writer.partitionBy(*partition_by).parquet(path)

@@ -10,9 +10,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import frames
-from tallybook.operators import aggregates, cube, drivers, kpis, measures, trends
-from tallybook.plans import lattice, report
-from tallybook.sources import layout
+from tallybook import schemas
+from tallybook.operators import aggregates, cube, drivers, features, kpis, measures, trends
+from tallybook.plans import lattice, registry, report
+from tallybook.sources import files, layout
 
 
 def plan(df):
@@ -210,3 +211,25 @@ def test_rounding_rest_goes_to_the_largest(spark):
     whole = drivers.rounded_to_total({"a": F.lit(0.333), "b": F.lit(0.333), "c": F.lit(0.334)}, total)
     assert tuple(spark.range(1).select(*[whole[k].alias(k) for k in whole]).first()) == (
         Decimal("0.34"), Decimal("0.33"), Decimal("0.33"))
+
+
+def test_columns_are_derived_once_the_rows_are_in_order(spark, folder):
+    sales = mixed(spark)
+    clean = sales.select(*schemas.CLEAN.names, "year_month")
+    seen = []
+
+    def derive(df):
+        seen.append(plan(df))
+        return features.engineer(df)
+
+    layout.write_clustered(clean, f"{folder}/sales", ("item", "location"), ("year_month",), derive=derive)
+    assert "rangepartitioning" in seen[0] and "quarter_label" not in seen[0] and "revenue" not in seen[0]
+    stored = files.read_engineered(spark, f"{folder}/sales")
+    assert rows(stored) == rows(sales.select(*stored.columns))
+
+
+def test_clustered_sales_are_stored_before_columns_are_derived(spark, small, monkeypatch):
+    kept = []
+    monkeypatch.setattr(registry, "stage_table", lambda df, *rest, stage=registry.stage_table: kept.append(df) or stage(df, *rest))
+    registry.queries()["view_clustered_slicer"](spark, small)
+    assert "transaction_id" in kept[0].columns and not {"revenue", "quarter_label"} & set(kept[0].columns)
