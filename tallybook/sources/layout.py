@@ -68,9 +68,10 @@ def clustered(df: DataFrame, columns: Sequence[str], within: Sequence[str] = ())
     """
     bits = max(1, min(BITS, 60 // len(columns)))
     key = interleaved([position(c, cut_points(df, c, bits)) for c in columns], bits)
-    rows = df.withColumn("__key", key).withColumn("__spread", F.xxhash64(*df.columns))
     order = [*within, "__key"]
-    return rows.repartitionByRange(*order, "__spread").sortWithinPartitions(*order).drop("__key", "__spread")
+    # The hash decides the partition alone and does not travel.
+    rows = df.withColumn("__key", key).repartitionByRange(*order, F.xxhash64(*df.columns))
+    return rows.sortWithinPartitions(*order).drop("__key")
 
 
 def write_clustered(df: DataFrame, path: str, columns: Sequence[str], partition_by: Sequence[str] = (),
@@ -86,5 +87,5 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], partition_
     held = {c: f"__{c}" for c in partition_by}
     rows = derive(clustered(df, columns, partition_by).withColumns({h: F.col(c) for c, h in held.items()}))
     rows = rows.drop(*held).withColumnsRenamed({h: c for c, h in held.items()})
-    writer = rows.write.mode("overwrite").option("parquet.block.size", row_group_bytes)
+    writer = rows.write.mode("overwrite").options(**{"parquet.block.size": row_group_bytes, "compression": "zstd"})
     writer.partitionBy(*partition_by).parquet(path)

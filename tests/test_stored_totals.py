@@ -233,3 +233,9 @@ def test_clustered_sales_are_stored_before_columns_are_derived(spark, small, mon
     monkeypatch.setattr(registry, "stage_table", lambda df, *rest, stage=registry.stage_table: kept.append(df) or stage(df, *rest))
     registry.queries()["view_clustered_slicer"](spark, small)
     assert "transaction_id" in kept[0].columns and not {"revenue", "quarter_label"} & set(kept[0].columns)
+
+
+def test_the_hash_that_spreads_equal_keys_does_not_travel(spark):
+    text = layout.clustered(mixed(spark), ("item", "location"))._jdf.queryExecution().optimizedPlan().toString()
+    travels = text.split("RepartitionByExpression")[1]
+    assert "xxhash64" in travels.splitlines()[0] and "xxhash64" not in travels.split("\n", 1)[1]
