@@ -108,6 +108,35 @@ def test_lines_travel_for_part_and_order_alone(spark, small):
     assert text.index("(l_orderkey") < text.index("(o_custkey")
 
 
+def test_lines_travel_with_day_and_billed_amount_only_where_shown(spark, folder):
+    tables = {
+        "region": "SELECT 0 r_regionkey, 'ASIA' r_name",
+        "nation": "SELECT 0 n_nationkey, 0 n_regionkey",
+        "customer": "SELECT 1L c_custkey, 0 c_nationkey, 'BUILDING' c_mktsegment",
+        "orders": "SELECT 1L o_orderkey, 1L o_custkey, '2-HIGH' o_orderpriority",
+        "part": "SELECT 1L p_partkey, 'PROMO TIN' p_type, 3.0D p_retailprice",
+        "lineitem": """SELECT 1L l_orderkey, 1L l_partkey, nullif(id, 40) l_suppkey, 1 l_linenumber, 2.0D l_quantity,
+            7.0D l_extendedprice, timestamp'2023-01-05 13:00:00' l_shipdate FROM range(41)""",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{folder}/{name}.parquet")
+    raw = raw_sales(spark, folder)
+    text = raw._jdf.queryExecution().optimizedPlan().toString()
+    lines = text[text.index("Join Inner, (l_orderkey"):]
+    assert "as date) AS l_shipdate" in lines and "THEN l_extendedprice" in lines
+    # The row key is 51 + 3 x supplier, and unknown without one.
+    billed = {r.transaction_id for r in raw.filter("total_spent = '7.00'").collect()}
+    assert billed == {f"TXN_1_1_1_{s}" for s in range(40) if (51 + 3 * s) % 17 == 0}
+    assert raw.filter("transaction_id = 'TXN_1_1_1' AND total_spent = '6.00'").count() == 1
+    assert raw.filter("trim(transaction_date) = '2023-01-05'").count() > 0
+
+
+def test_duplicates_are_found_without_the_total(spark, small):
+    """It follows from quantity and price, so it need not travel."""
+    shuffles = re.findall(r"Exchange hashpartitioning\(.*", plan(registry.queries()["clean_dedup"](spark, small)))
+    assert shuffles and not any("total_spent" in s for s in shuffles)
+
+
 def test_passes_over_the_records_share_one_join_of_the_tables(spark, small):
     t = registry.Tables(spark, small)
     for rows in (t.clean(), t.clean_v1(), imputation.value_counts(t.records())):
