@@ -174,7 +174,8 @@ def write_table(df: DataFrame, path: str, file_format: str = "parquet",
     month is written by a few tasks rather than by all of them, and adaptive
     execution splits a month that is much larger than the rest. ``rebalance=False``
     leaves that out for rows that are together already, such as those of
-    :func:`tallybook.operators.features.gathered_by_month`.
+    :func:`tallybook.operators.features.gathered_by_month`. Parquet files are
+    compressed with zstd.
     """
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
@@ -183,6 +184,8 @@ def write_table(df: DataFrame, path: str, file_format: str = "parquet",
         writer = writer.partitionBy(*partition_by)
     if file_format == "csv":
         writer = writer.options(**CSV_OPTIONS)
+    elif file_format == "parquet":
+        writer = writer.option("compression", "zstd")
     writer.format(file_format).save(path)
 
 

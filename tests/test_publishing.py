@@ -84,3 +84,10 @@ def test_a_failed_check_shows_nothing_new(spark, folder):
     assert stored.count() == 2 and len(os.listdir(f"{folder}/clean/{files.VERSIONS}")) == 1
     engineered.run_features(stored, f"{folder}/sales", versions=True)
     assert files.read_engineered(spark, f"{folder}/sales").count() == 2
+
+
+def test_parquet_tables_are_written_with_zstd(spark, folder):
+    files.write_table(spark.range(9), f"{folder}/plain")
+    published = files.publish_table(spark.range(9), f"{folder}/published", versions=True)
+    found = spark.read.parquet(f"{folder}/plain").inputFiles() + published.inputFiles()
+    assert found and all(f.endswith(".zstd.parquet") for f in found) and published.count() == 9
