@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallybook.llm import minhash, mixing, packing, quality
 from tallybook.llm.queries import read, tokenizer_file
 from tallybook.llm.stage import stage
-from tallybook.llm.workers import ship
+from tallybook.llm.workers import ship, small_batches
 
 # The classifier is fitted and tokens are counted in Python; SQL cannot express the rows.
 ORACLE_SQL = None
@@ -23,7 +23,10 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.score_documents(docs, labels).where("keep").select(*docs.columns)
+    kept = quality.score_documents(docs, labels).where("keep").select(*docs.columns)
+    # Texts go to Python once more when these rows are read: stored here, they do so in small batches.
+    with small_batches(spark):
+        return stage(kept, "good")
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
 SLICE_BYTES = 1 << 21
+# For work whose arrays take many times the bytes of a slice.
+SMALL_SLICE_BYTES = 1 << 20
 
 # Only the GNU C library has it.
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

@@ -15,9 +15,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.arrow_text import mix, shingle_hashes, slices, text_buffer, word_hashes, word_spans
+from tallybook.llm.arrow_text import SMALL_SLICE_BYTES, mix, shingle_hashes, slices, text_buffer, word_hashes, word_spans
 from tallybook.llm.components import components
 from tallybook.llm.stage import stage
+from tallybook.llm.workers import small_batches
 
 SIGNATURE = 512
 # Of these, so many at most form bands; all serve the estimate that spares a comparison of sets.
@@ -72,7 +73,7 @@ def shingle_sets(column: pa.Array, size: int):
     A text of fewer words is one shingle; one without words has none.
     """
     data, limits = text_buffer(column)
-    for first, last in slices(limits):
+    for first, last in slices(limits, SMALL_SLICE_BYTES):
         part = limits[first:last + 1]
         text = data[part[0]:part[-1]]
         starts, ends, words = word_spans(text, part - part[0])
@@ -106,7 +107,7 @@ def _cut(batches):
     """Batches of a few megabytes of text, the second column, so that a signature's temporaries stay small."""
     for batch in batches:
         _, limits = text_buffer(batch.column(1))
-        for first, last in slices(limits):
+        for first, last in slices(limits, SMALL_SLICE_BYTES):
             yield batch.slice(first, last - first)
 
 
@@ -191,10 +192,11 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
     kind = df.schema[id_column].dataType.simpleString()
     rows, bands = bands_for(percent)
     texts = df.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
-    signed = stage(texts.mapInArrow(
-        lambda batches: _signature_rows(batches, shingle, rows, bands),
-        f"doc_id {kind}, n_shingles long, print binary, bands array<long>, " + ", ".join(f"{x} long" for x in PACKED)),
-        "signatures")
+    with small_batches(df.sparkSession):
+        signed = stage(texts.mapInArrow(
+            lambda batches: _signature_rows(batches, shingle, rows, bands),
+            f"doc_id {kind}, n_shingles long, print binary, bands array<long>, " + ", ".join(f"{x} long" for x in PACKED)),
+            "signatures")
     usable = signed.where("print IS NOT NULL AND doc_id IS NOT NULL")
     first = stage(usable.groupBy("print").agg(F.min("doc_id").alias("doc_id")), "first")
     # Equal sets have equal signatures, so any row of a print describes it.
@@ -210,9 +212,10 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
     wanted = marks.select("doc_id", "print")
     if marks.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    sets = stage(texts.join(wanted, "doc_id").select("print", "text").mapInArrow(
-        lambda batches: _set_rows(batches, shingle), "print binary, hashes array<long>")
-        .dropDuplicates(["print"]), "sets")
+    with small_batches(df.sparkSession):
+        sets = stage(texts.join(wanted, "doc_id").select("print", "text").mapInArrow(
+            lambda batches: _set_rows(batches, shingle), "print binary, hashes array<long>")
+            .dropDuplicates(["print"]), "sets")
 
     described = members.join(marks.drop("doc_id", "bands"), "print")
     cells = F.greatest(F.lit(1), F.floor(F.col("members") / CELL_MEMBERS))

@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from tallybook.llm.placing import bucket_count, running_sum
 from tallybook.llm.stage import stage
 from tallybook.llm.tokens import token_slices
+from tallybook.llm.workers import small_batches
 
-PLACE_COLUMNS = "length long, first long, beyond long, sequence long, each long, offset long"
+PLACE_COLUMNS = ("length", "first", "beyond", "sequence", "each", "offset")
 
 
 def piece_rows(batches, path: str, end: int | None, capacity: int):
@@ -126,11 +127,14 @@ def pack(df: DataFrame, path: str, id_column: str = "doc_id", text: str = "text"
     """
     spark = df.sparkSession
     pieces = token_pieces(df, path, id_column, text, end, capacity)
-    pieces = stage(pieces.withColumn("ids_crc32", F.crc32("ids"))
-                   .withColumn("__piece", F.monotonically_increasing_id()), "pieces")
+    with small_batches(spark):
+        pieces = stage(pieces.withColumn("ids_crc32", F.crc32("ids"))
+                       .withColumn("__piece", F.monotonically_increasing_id()), "pieces")
     # At most ``capacity`` rows.
     counts = {row["length"]: row["count"] for row in pieces.groupBy("length").count().collect()}
-    places = spark.createDataFrame(plan(counts, capacity), PLACE_COLUMNS)
+    # From Arrow columns the table is made without Python workers.
+    columns = np.array(plan(counts, capacity), np.int64).reshape(-1, len(PLACE_COLUMNS)).T
+    places = spark.createDataFrame(pa.table(dict(zip(PLACE_COLUMNS, map(pa.array, columns)))))
     ranked = running_sum(
         pieces.select("__piece", "length", F.lit(1).cast("long").alias("__one"),
                       F.pmod(F.xxhash64("__piece"), F.lit(bucket_count(sum(counts.values())))).alias("__bucket")),

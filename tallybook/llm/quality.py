@@ -14,8 +14,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.arrow_text import slices, text_buffer, word_hashes, word_spans
+from tallybook.llm.arrow_text import SMALL_SLICE_BYTES, slices, text_buffer, word_hashes, word_spans
 from tallybook.llm.stage import stage
+from tallybook.llm.workers import small_batches
 
 FEATURES = ("log_words", "word_length", "upper", "digits", "other_ascii", "wide", "exclaimed",
             "marked_words", "lone_signs", "repeated", "distinct", "line_length", "stops")
@@ -39,7 +40,7 @@ def text_features(column: pa.Array) -> np.ndarray:
     """One row of ``FEATURES`` per text; an empty or null text has zeros."""
     data, limits = text_buffer(column)
     out = np.zeros((len(limits) - 1, len(FEATURES)))
-    for first, last in slices(limits):
+    for first, last in slices(limits, SMALL_SLICE_BYTES):
         part = limits[first:last + 1]
         text = data[part[0]:part[-1]]
         edges = part - part[0]
@@ -154,9 +155,10 @@ def score_documents(df: DataFrame, labels: DataFrame, id_column: str = "doc_id",
 
     known = labels.where(F.col(label).isNotNull()).groupBy(F.col(id_column).alias("__id")).agg(
         F.min(label).cast("double").alias("__label"))
-    rows = stage(
-        df.select(F.col(id_column).alias("__id"), F.col(host).alias("__host"), F.col(path).alias("__path"),
-                  features_of(F.col(text)).alias("__features")).join(known, "__id", "left"), "quality-features")
+    with small_batches(df.sparkSession):
+        rows = stage(
+            df.select(F.col(id_column).alias("__id"), F.col(host).alias("__host"), F.col(path).alias("__path"),
+                      features_of(F.col(text)).alias("__features")).join(known, "__id", "left"), "quality-features")
     labelled = rows.where("__label IS NOT NULL")
     # A bound on the hash leaves somewhat more than the rows wanted, so that tasks send no more than these.
     share_wanted = (sample_rows + 6 * sample_rows**0.5) / max(labelled.count(), 1)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybook.llm.tokens import token_slices
+from tallybook.llm.workers import small_batches
 
 TOKEN_COLUMN = "tokens.list.element"
 
@@ -57,13 +58,14 @@ def write_tokens(df: DataFrame, folder: str, path: str, id_column: str = "doc_id
         .mapInArrow(lambda batches: _list_rows(batches, path, end),
                     f"doc_id {kind}, file_no int, first long, n_tokens long, tokens array<int>")
     )
-    (rows.write.option("compression", "zstd")
-     .option("parquet.writer.version", "PARQUET_2_0")
-     .option("parquet.enable.dictionary", "false")
-     .option(f"parquet.enable.dictionary#{TOKEN_COLUMN}", "true")
-     .option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes)
-     .option("parquet.dictionary.page.size", 1 << 20)
-     .parquet(folder))
+    with small_batches(df.sparkSession):
+        (rows.write.option("compression", "zstd")
+         .option("parquet.writer.version", "PARQUET_2_0")
+         .option("parquet.enable.dictionary", "false")
+         .option(f"parquet.enable.dictionary#{TOKEN_COLUMN}", "true")
+         .option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes)
+         .option("parquet.dictionary.page.size", 1 << 20)
+         .parquet(folder))
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,6 +11,7 @@ for the whole text.
 
 from __future__ import annotations
 
+import os
 import re
 from itertools import chain
 
@@ -21,7 +22,8 @@ from tallybook.llm.arrow_text import slices, text_buffer, word_hashes
 
 # Memory for the pieces a worker remembers; when it is used up it forgets all and goes on.
 REMEMBERED_BYTES = 64 << 20
-SLICE_BYTES = 1 << 22
+# A slice's index arrays take some 25 times its bytes.
+SLICE_BYTES = 1 << 21
 
 # Two sets of factors for hashes of pieces that tell A from a.
 _FACTORS = np.random.default_rng(20241108).integers(0, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -80,6 +82,8 @@ class Encoder:
     """Encodes batches of texts; one per worker process and tokenizer file."""
 
     def __init__(self, path: str):
+        # A task has one core; the library's threads would take more, and memory each.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -105,10 +109,11 @@ class Encoder:
         count = np.concatenate(count)
         begin = len(self.ids) + np.cumsum(count, dtype=np.int64) - count
         self.ids = np.concatenate([self.ids, *found])
-        order = np.argsort(np.concatenate([self.known[0], hashes[0]]), kind="stable")
-        self.known = np.concatenate([self.known, hashes], axis=1)[:, order]
-        self.begin = np.concatenate([self.begin, begin])[order]
-        self.count = np.concatenate([self.count, count])[order]
+        order = np.argsort(hashes[0], kind="stable")
+        at = np.searchsorted(self.known[0], hashes[0][order], "right")
+        self.known = np.insert(self.known, at, hashes[:, order], axis=1)
+        self.begin = np.insert(self.begin, at, begin[order])
+        self.count = np.insert(self.count, at, count[order])
         return begin, count
 
     def _places(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +148,8 @@ class Encoder:
         table = pieces.dictionary_encode()
         begin, lengths = (x[np.asarray(table.indices)] for x in self._places(table.dictionary))
         ends = np.cumsum(lengths)
-        place = np.arange(ends[-1]) + np.repeat(begin - ends + lengths, lengths)
+        place = np.repeat(begin - ends + lengths, lengths)
+        place += np.arange(len(place))
         before = np.concatenate([[0], ends])
         return self.ids[place], before[np.searchsorted(starts, limits)]
 

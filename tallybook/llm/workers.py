@@ -1,16 +1,37 @@
-"""Getting this package to the Python workers."""
+"""Getting this package, and texts, to the Python workers."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# Rows that go to a Python worker at once have about so many bytes.
+BATCH_BYTES = 4 << 20
+
 _shipped: set[str] = set()
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside sends texts to Python in batches of about ``BATCH_BYTES``; a longer text goes alone.
+
+    Spark's own bound is 10,000 rows or 64 MB. A task holds a batch in buffers of the next power of two,
+    beside its heap, and the worker holds two. Only jobs that start inside, like a stage's, are bound.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ship(spark: SparkSession) -> None:
     """Sends the library to the executors once per application, as ``addPyFile`` does."""
     context = spark.sparkContext
