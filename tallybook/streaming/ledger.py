@@ -4,13 +4,19 @@ Records lie in monthly buckets, each distinct one once, with a fingerprint. A ba
 buckets of its own months only, since copies of a record have its date. Complete records and those with
 gaps are kept apart: the former never change again, the latter follow the statistics that fill them.
 
+The rows of a batch travel once, to the slot of their day (``Ledger._days``), where copies meet each other and
+the fingerprints of the history, and are written once. Filled records can only become equal if all columns that are
+never filled agree. Records of which the hash of these, their ``kin``, is shared with another record are listed, and
+only they are compared again; all others are counted and read where they lie.
+
 The rollup is a sum of signed changes. A batch adds its new records, and where a statistic has changed it
 takes back the old filling of the gaps concerned and adds the new one, in the months that have such gaps.
 Nothing else of the history is read. A largest bill cannot be taken back, so groups that lose a record get
 theirs anew from the months touched.
 
-Tables below the store, each with a folder per batch: ``complete`` and ``gaps`` (by month), ``counts``
-(value counts so far), ``by_item`` and ``overall`` (statistics), ``gap_index`` (which gaps a month has),
+Tables below the store, each with a folder per batch: ``records`` (by kind and month: ``complete``, ``gaps`` and
+``known``, which are copies of records of earlier batches and only counted), ``shared`` (kins of several records),
+``counts`` (value counts so far), ``by_item`` and ``overall`` (statistics), ``gap_index`` (which gaps a month has),
 ``changes`` (of the rollup, by month) and, written last, ``batches``: only batches listed there count, so
 an interrupted one leaves no trace, and repeating it overwrites its own folders.
 """
@@ -28,6 +34,9 @@ from tallybook.sources import files
 from tallybook.sources.staging import stage_table
 
 FILLED = ("item", "quantity", "price_per_unit", "payment_method", "location")
+KINDS = ("complete", "gaps", "known")
+# Rows of a slot: fewer would make many small files, and a task that sorts more may have to spill them.
+SLOT_ROWS, MOST_ROWS = 50_000, 500_000
 # A value of each filled column that no statistic changes.
 _PRESENT = {"item": "", "quantity": 0, "price_per_unit": 0, "payment_method": "", "location": ""}
 
@@ -64,13 +73,24 @@ class Ledger:
     def _write(self, df: DataFrame, table: str, batch: int, by_month: bool = False) -> None:
         files.write_table(df, self._path(table, batch), "parquet", ("month",) if by_month else ())
 
+    def _folders(self, table: str, batches: list[int]) -> tuple[str, list[str]]:
+        """A table's folder and those of some batches; a batch without records of a kind has none."""
+        if table not in KINDS:
+            return f"{self.store}/{table}", [self._path(table, b) for b in batches]
+        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.store}/records/batch=*/kind={table}")
+        found = path.getFileSystem(conf).globStatus(path)
+        there = {f.getPath().getParent().getName() for f in found or []}
+        return f"{self.store}/records", [
+            f"{self._path('records', b)}/kind={table}" for b in batches if f"batch={b}" in there]
+
     def _read(self, table: str, schema: T.StructType, batches: list[int],
               months: list[int] | None = None) -> DataFrame:
         """Rows of some batches, of the given months' folders only."""
-        if not batches:
+        base, folders = self._folders(table, batches)
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        rows = (self.spark.read.schema(schema).option("basePath", f"{self.store}/{table}")
-                .parquet(*[self._path(table, b) for b in batches]))
+        rows = self.spark.read.schema(schema).option("basePath", base).parquet(*folders)
         rows = rows if months is None else rows.where(F.col("month").isin(months))
         return rows.select(*schema.names)
 
@@ -84,21 +104,45 @@ class Ledger:
 
     @staticmethod
     def _stored(schema: T.StructType) -> T.StructType:
-        return T.StructType([*schema.fields, T.StructField("fingerprint", T.StringType()),
-                             T.StructField("month", T.IntegerType())])
+        return T.StructType([*schema.fields, T.StructField("copies", T.LongType()),
+                             T.StructField("fingerprint", T.BinaryType()), T.StructField("month", T.IntegerType())])
 
     # --- rows ----------------------------------------------------------------------------
 
     @staticmethod
-    def _marked(df: DataFrame, schema: T.StructType, *others: str) -> DataFrame:
-        """The record's columns in their types, its fingerprint and its month, and ``others`` as they are."""
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-        whole = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-        return df.select(*columns, F.md5(whole.cast("binary")).alias("fingerprint"), _month().alias("month"), *others)
+    def _typed(df: DataFrame, schema: T.StructType, *others: str) -> DataFrame:
+        """The record's columns in their types, and ``others`` as they are."""
+        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *others)
 
-    def _filled(self, gaps: DataFrame, statistics: imputation.Statistics, schema: T.StructType) -> DataFrame:
+    @staticmethod
+    def _fingerprint(schema: T.StructType) -> Column:
+        whole = F.to_json(F.struct(*schema.names), {"ignoreNullFields": "false"})
+        return F.unhex(F.md5(whole.cast("binary")))
+
+    @staticmethod
+    def _kin(schema: T.StructType) -> Column:
+        """Hash of the columns that are never filled: records that become equal have the same."""
+        return F.xxhash64(*[n for n in schema.names if n not in FILLED])
+
+    def _filled(self, gaps: DataFrame, statistics: imputation.Statistics, schema: T.StructType,
+                *others: str) -> DataFrame:
         rows = gaps.withColumn("total_spent", F.lit(None).cast("decimal(18,2)"))
-        return self._marked(imputation.fill_gaps(rows, statistics), schema)
+        return self._typed(imputation.fill_gaps(rows, statistics), schema, *others)
+
+    def _refilled(self, gaps: DataFrame, old: imputation.Statistics, new: imputation.Statistics,
+                  schema: T.StructType) -> DataFrame:
+        """Records with gaps as they were filled and as they are now, with ``old`` and ``new``: 1 where it holds."""
+        def row(of: str, old: int, new: int) -> Column:
+            return F.struct(*[F.col(f"{of}.{n}").alias(n) for n in schema.names],
+                            F.lit(old).alias("old"), F.lit(new).alias("new"))
+
+        was = self._filled(gaps.select(*schema.names, "month", F.struct(*schema.names).alias("record")), old, schema,
+                           "month", "record")
+        was = was.select("month", "record.*", F.struct(*schema.names).alias("was"))
+        both = self._filled(was, new, schema, "month", "was").select("month", "was", F.struct(*schema.names).alias("now"))
+        same = F.col("was").eqNullSafe(F.col("now"))
+        rows = F.when(same, F.array(row("now", 1, 1))).otherwise(F.array(row("was", 1, 0), row("now", 0, 1)))
+        return both.select("month", F.explode(rows).alias("row")).select("month", "row.*")
 
     def _gap_index(self, gaps: DataFrame) -> DataFrame:
         """Which gaps the records of a month have; one row per month, item and kind of gap."""
@@ -121,6 +165,54 @@ class Ledger:
 
     # --- a batch ---------------------------------------------------------------------------
 
+    def _days(self, counted: DataFrame, history: DataFrame | None) -> tuple[DataFrame, int]:
+        """The batch's dates, each with the first of its ``slots``, and how many slots there are.
+
+        Slots are equal shares of the rows, along the calendar: rows gathered by slot have few days, so they are
+        written in few files, and are many in their groups of the rollup. A day with many rows has several slots.
+        """
+        if history is not None:
+            held = history.groupBy("transaction_date").agg(F.count(F.lit(1)).alias("held"))
+            counted = stage_table(counted.join(held, "transaction_date", "left").select(
+                "transaction_date", (F.col("n") + F.coalesce("held", F.lit(0))).alias("n")), "days")
+        rows = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        slots = max(1, min(tasks, -(-rows // SLOT_ROWS)), -(-rows // MOST_ROWS))
+        # One row per date; the window is over these alone.
+        upto = F.sum("n").over(Window.orderBy("transaction_date"))
+        first, last = (F.floor(at * slots / F.lit(rows)).cast("int") for at in (upto - F.col("n"), upto - 1))
+        days = counted.select("transaction_date", first.alias("slot"), (last - first + 1).alias("slots"))
+        return stage_table(days, "slots"), slots
+
+    def _placed(self, rows: DataFrame, days: DataFrame, schema: T.StructType, how: str, *columns: Column) -> DataFrame:
+        """``columns`` of the rows, with the slot of their day."""
+        slot = F.coalesce(F.col("slot") + F.pmod(self._kin(schema), F.col("slots")).cast("int"), F.lit(0))
+        return rows.join(days, "transaction_date", how).select(slot.alias("slot"), *columns)
+
+    def _arrived(self, standardised: DataFrame, days: DataFrame, slots: int, schema: T.StructType,
+                 history: DataFrame | None) -> DataFrame:
+        """The batch's distinct records with their kind, gathered by slot.
+
+        The rows and the fingerprints of the history travel together, once: copies of a record have its day and so
+        its slot. A record's own fingerprint, which its columns decide, need not travel.
+        """
+        none = F.lit(None)
+        rows = self._placed(self._typed(standardised, schema), days, schema, "left",
+                            *[F.col(n) for n in schema.names], none.cast("binary").alias("held"))
+        if history is not None:
+            rows = rows.unionByName(self._placed(
+                history, days, schema, "inner", *[none.cast(f.dataType).alias(f.name) for f in schema.fields],
+                F.col("fingerprint").alias("held")))
+        rows = (
+            rows.repartitionById(slots, "slot").groupBy("slot", "held", *schema.names).agg(F.count(F.lit(1)).alias("copies"))
+            .withColumns({"fingerprint": F.coalesce("held", self._fingerprint(schema)), "month": _month()}))
+        kind = F.when(_gap(), "gaps").otherwise("complete")
+        if history is not None:
+            found = F.max(F.col("held").isNotNull()).over(Window.partitionBy("slot", "fingerprint"))
+            rows = rows.withColumn("found", found).where(F.col("held").isNull())
+            kind = F.when(F.col("found"), "known").otherwise(kind)
+        return rows.withColumn("kind", kind)
+
     def apply(self, standardised: DataFrame, batch: int) -> None:
         """Takes in a batch of standardised records."""
         done = [b for b in self.batches() if b < batch]
@@ -128,22 +220,22 @@ class Ledger:
         schema = self._schema(last) if done else standardised.drop("total_spent").schema
         stored = self._stored(schema)
 
-        # The columns decide the fingerprint, which need not travel.
-        counted = standardised.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).groupBy(
-            *schema.names).agg(F.count(F.lit(1)).alias("copies"))
-        arrived = stage_table(self._marked(counted, schema, "copies"), "arrived")
-        months = [r.month for r in arrived.select("month").distinct().collect()]
-
-        # New records: the fingerprints of the batch's own months are all that is read of the history.
-        known = (self._read("complete", stored, done, months).select("month", "fingerprint")
-                 .unionByName(self._read("gaps", stored, done, months).select("month", "fingerprint")))
-        fresh = stage_table(arrived.drop("copies").join(known, ["month", "fingerprint"], "left_anti")
-                            .select(*stored.names), "fresh")
-        self._write(fresh.where(~_gap()), "complete", batch, by_month=True)
-        self._write(fresh.where(_gap()), "gaps", batch, by_month=True)
-        self._write(self._gap_index(fresh.where(_gap())), "gap_index", batch)
-
-        counts = imputation.value_counts(arrived, "copies")
+        dates = stage_table(self._typed(standardised, schema).groupBy("transaction_date").agg(
+            F.count(F.lit(1)).alias("n")), "dates")
+        months = [r.month for r in dates.select(_month().alias("month")).distinct().collect()]
+        # New records: the fingerprints of the batch's own days are all that travels of the history.
+        history = self._read("complete", stored, done, months).unionByName(
+            self._read("gaps", stored, done, months)) if done else None
+        days, slots = self._days(dates, history)
+        arrived = self._arrived(standardised, days, slots, schema, history).select(*stored.names, "kind")
+        files.write_table(arrived, self._path("records", batch), "parquet", ("kind", "month"), rebalance=False)
+        self._write(self._gap_index(self._read("gaps", stored, [batch])), "gap_index", batch)
+        self._write(self._shared(stored, schema, [*done, batch], months, days), "shared", batch)
+
+        taken = self._read(KINDS[0], stored, [batch])
+        for k in KINDS[1:]:
+            taken = taken.unionByName(self._read(k, stored, [batch]))
+        counts = imputation.value_counts(taken, "copies")
         if done:
             before = self.spark.read.parquet(self._path("counts", last))
             counts = imputation.merge_counts(before.unionByName(counts))
@@ -154,65 +246,68 @@ class Ledger:
         self._write(imputation.flat(stage_table(
             imputation.overall_statistics(counts, by_item, self.price_median), "overall")), "overall", batch)
 
+        refilled = []
         if done:
             index = self.spark.read.option("basePath", f"{self.store}/gap_index").parquet(
                 *[self._path("gap_index", b) for b in done])
             refilled = self._refilled_months(index, self._statistics(last), self._statistics(batch))
-            months = sorted({*months, *refilled})
-        changes = self._changes(stored, schema, done, batch, months)
+        changes = self._changes(stored, schema, done, batch, months, refilled)
         self._write(changes, "changes", batch, by_month=True)
         noted = {"records": schema.json(), "changes": changes.schema.json()}
         self._write(self.spark.createDataFrame([noted], "records string, changes string"), "batches", batch)
 
+    def _shared(self, stored: T.StructType, schema: T.StructType, batches: list[int], months: list[int],
+                days: DataFrame) -> DataFrame:
+        """Kins of more than one record, on the days of the last batch. Eight bytes of each record travel."""
+        rows = (self._read("complete", stored, batches, months)
+                .unionByName(self._read("gaps", stored, batches, months)))
+        return (rows.join(days, "transaction_date", "left_semi").groupBy(self._kin(schema).alias("kin"))
+                .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("kin"))
+
+    def _apart(self, rows: DataFrame, schema: T.StructType, batches: list[int]) -> tuple[DataFrame, DataFrame | None]:
+        """Rows that no other can equal, and those whose kin several records share, if there are any."""
+        shared = self.spark.read.schema("kin bigint").parquet(*[self._path("shared", b) for b in batches])
+        if shared.isEmpty():
+            return rows, None
+        keyed = rows.withColumn("kin", self._kin(schema))
+        return tuple(keyed.join(shared, "kin", how).drop("kin") for how in ("left_anti", "left_semi"))
+
     def _changes(self, stored: T.StructType, schema: T.StructType, done: list[int], batch: int,
-                 months: list[int]) -> DataFrame:
-        """Signed totals of the records that the clean table of ``months`` gains and loses."""
+                 months: list[int], refilled: list[int]) -> DataFrame:
+        """Signed totals of the records that the clean table gains and loses."""
         statistics = self._statistics(batch)
-        before = self._read("complete", stored, done, months)
-        gaps = self._read("gaps", stored, done, months)
-        added = self._read("complete", stored, [batch])
-        added_gaps = self._read("gaps", stored, [batch])
 
-        def side(df: DataFrame, old: int, new: int) -> DataFrame:
-            return df.select("*", F.lit(old).alias("old"), F.lit(new).alias("new"))
+        def side(df: DataFrame, old: int) -> DataFrame:
+            return df.select("month", *schema.names, F.lit(old).alias("old"), F.lit(1).alias("new"))
 
-        now = self._filled(gaps.unionByName(added_gaps), statistics, schema)
-        sides = side(added, 0, 1).unionByName(side(now, 0, 1))
-        if done:
-            sides = sides.unionByName(side(self._filled(gaps, self._statistics(done[-1]), schema), 1, 0))
-        names = [n for n in stored.names if n not in ("month", "fingerprint")]
-        moved = (
-            # Grouped by all columns, which the fingerprint stands for, rows are hashed and not sorted.
-            sides.repartition("month", "fingerprint").groupBy("month", "fingerprint", *names)
-            .agg(F.max("old").alias("old"), F.max("new").alias("new"))
-            .where("old <> new")
-            # Complete records of the history are there before and after.
-            .join(before.select("month", "fingerprint"), ["month", "fingerprint"], "left_anti")
-            .select("month", *names, (F.col("new") - F.col("old")).alias("sign"))
-        )
-        moved = stage_table(moved, "moved")
-        sales = self._costed(moved)
-        keys = self._keys(sales)
+        added = side(self._read("complete", stored, [batch]), 0).unionByName(side(
+            self._filled(self._read("gaps", stored, [batch]), statistics, schema, "month"), 0))
+
+        def held(months: list[int]) -> DataFrame:
+            """The history, as the clean table had and has it."""
+            return side(self._read("complete", stored, done, months), 1).unionByName(self._refilled(
+                self._read("gaps", stored, done, months), self._statistics(done[-1]), statistics, schema))
+
+        # Of the months whose fillings change all rows are read: a group that loses one has its largest bill among them.
+        rows, shared = self._apart(added.unionByName(held(refilled)) if refilled else added, schema, [*done, batch])
+        if shared is not None:
+            others = [m for m in months if m not in refilled]
+            if done and others:
+                shared = shared.unionByName(self._apart(held(others), schema, [*done, batch])[1])
+            rows = rows.unionByName(shared.groupBy("month", *schema.names).agg(
+                F.max("old").alias("old"), F.max("new").alias("new")))
+        sales = self._costed(rows.withColumn("sign", F.col("new") - F.col("old")))
+        gained, lost = F.col("sign") > 0, F.col("sign") < 0
 
         def signed(c: str) -> Column:
-            return F.sum(F.when(F.col("sign") > 0, F.col(c)).otherwise(-F.col(c))).alias(c)
+            return F.sum(F.when(gained, F.col(c)).when(lost, -F.col(c))).alias(c)
 
-        gained = F.col("sign") > 0
-        totals = sales.groupBy("month", *keys).agg(
+        totals = sales.groupBy("month", *self._keys(sales)).agg(
             *[signed(c) for c in aggregates.SUMMED], F.sum(F.col("sign").cast("bigint")).alias("transactions"),
-            F.max(F.when(gained, F.col("max_bill"))).alias("max_bill"), F.max(~gained).alias("lost"))
-        if not done or moved.where("sign < 0").isEmpty():
-            return totals
-        # The largest bill of groups that lost a record, from all their records.
-        totals = stage_table(totals, "changes")
-        joint = ["month", *[f"_{k}" for k in keys]]
-        joinable = [F.coalesce(F.col(k).cast("string"), F.lit("\0")).alias(f"_{k}") for k in keys]
-        lost = totals.where("lost").select("month", *joinable)
-        rows = before.unionByName(added).unionByName(now)
-        rows = self._costed(rows).select("month", *joinable, "max_bill")
-        largest = rows.join(lost, joint, "left_semi").groupBy(*joint).agg(F.max("max_bill").alias("left_bill"))
-        return totals.select("*", *joinable).join(largest, joint, "left").withColumn(
-            "max_bill", F.when(F.col("lost"), F.col("left_bill")).otherwise(F.col("max_bill"))).select(*totals.columns)
+            F.max(F.when(gained, F.col("max_bill"))).alias("max_bill"), F.max(lost).alias("lost"),
+            F.max(F.when(F.col("new") > 0, F.col("max_bill"))).alias("left_bill"), F.max(F.col("sign") != 0).alias("moved"))
+        return totals.where("moved").withColumn(
+            "max_bill", F.when(F.col("lost"), F.col("left_bill")).otherwise(F.col("max_bill"))).drop("left_bill", "moved")
 
     def _costed(self, rows: DataFrame) -> DataFrame:
         return aggregates.additive(features.add_financials(imputation.with_total(rows), self.rates, self.default_rate))
@@ -228,11 +323,10 @@ class Ledger:
         done = self.batches()
         schema = self._schema(done[-1])
         stored = self._stored(schema)
-        complete, gaps = (self._read(t, stored, done) for t in ("complete", "gaps"))
-        filled = self._filled(gaps, self._statistics(done[-1]), schema)
+        filled = self._filled(self._read("gaps", stored, done), self._statistics(done[-1]), schema)
+        rows = self._read("complete", stored, done).select(*schema.names).unionByName(filled)
         # Complete records are distinct already; a filled one may equal another.
-        rows = complete.unionByName(filled).dropDuplicates(["month", "fingerprint"]).drop("month", "fingerprint")
-        return imputation.with_total(rows)
+        return imputation.with_total(rows.dropDuplicates())
 
     def rollup(self, months: list[int] | None = None) -> DataFrame:
         """The daily rollup, from the changes alone; ``months`` (as 202301) limits what is read."""

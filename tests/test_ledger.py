@@ -1,14 +1,18 @@
 """Batches taken in one by one equal one load of everything."""
 
 import datetime as dt
+import glob
 import random
 import re
 
+import pyarrow.parquet as pq
 import pytest
 
 import frames
 from tallybook.operators import aggregates, cleaning, features
 from tallybook.plans import clean
+from tallybook.session import shared_folder
+from tallybook.streaming import ledger as ledgers
 from tallybook.streaming.ledger import Ledger
 
 
@@ -113,3 +117,75 @@ def test_an_empty_batch_changes_nothing(spark, folder):
     ledger.apply(cleaning.standardised_records(frames.raw(spark, *full(1, 4))), 0)
     ledger.apply(cleaning.standardised_records(frames.raw(spark, *full(1, 4)).limit(0)), 1)
     assert ledger.clean().count() == 4 and ledger.rollup().count() == 4
+
+
+def stored_rows(*folders):
+    """Records in the Parquet files of some folders, by file."""
+    found = {}
+    for file in (f for folder in folders for f in glob.glob(f"{folder}/**/*.parquet", recursive=True)):
+        opened = pq.ParquetFile(file)
+        if "transaction_id" in opened.schema_arrow.names:
+            found[file] = opened.metadata.num_rows
+    return found
+
+
+def test_records_are_written_once(spark, folder):
+    before = stored_rows(shared_folder(spark))
+    gaps = [{"transaction_id": f"G{k}", "item": "Tea", "price_per_unit": None, "transaction_date": "2023-01-09"}
+            for k in range(5)]
+    ledger = Ledger(spark, folder)
+    ledger.apply(cleaning.standardised_records(frames.raw(spark, *full(1, 20), *full(2, 20), *gaps)), 0)
+    ledger.apply(cleaning.standardised_records(frames.raw(spark, *full(2, 22, "2.00"), *full(3, 9, "4.00"))), 1)
+    written = stored_rows(shared_folder(spark), folder)
+    # 45 records, then 31 of which 20 are known.
+    assert sum(n for file, n in written.items() if file not in before) == 45 + 31
+    assert ledger.clean().count() == 45 + 11
+
+
+def test_rows_of_a_batch_travel_once(spark, folder, monkeypatch):
+    monkeypatch.setattr(ledgers, "SLOT_ROWS", 6)
+    ledger = Ledger(spark, folder)
+    batch = cleaning.standardised_records(frames.raw(spark, *full(1, 30)))
+    ledger.apply(batch, 0)
+    schema = ledger._schema(0)
+    held = ledger._read("complete", ledger._stored(schema), [0])
+    dates = batch.groupBy("transaction_date").count().withColumnRenamed("count", "n")
+    days, slots = ledger._days(dates, held)
+    text = plan(ledger._arrived(batch, days, slots, schema, held))
+    # Copies and known records are found where the rows are.
+    assert text.count("Exchange shufflepartitionid") == 1 and "Exchange hashpartitioning" not in text
+
+
+def test_days_of_several_slots_and_tasks_of_several_days(spark, folder, monkeypatch):
+    monkeypatch.setattr(ledgers, "SLOT_ROWS", 6)
+    monkeypatch.setattr(ledgers, "MOST_ROWS", 12)
+    heavy = [{"transaction_id": f"H{k}", "price_per_unit": None if k % 3 else "2.50", "transaction_date": "2023-02-03"}
+             for k in range(50)]
+    batches = [[*full(1, 12), *heavy, *heavy[:9]], [*full(2, 12), *heavy[5:30], *full(1, 15)]]
+    ledger = Ledger(spark, folder)
+    for k, rows in enumerate(batches):
+        ledger.apply(cleaning.standardised_records(frames.raw(spark, *rows)), k)
+    days, slots = ledger._days(spark.createDataFrame(
+        [(dt.date(2023, 2, d), n) for d, n in ((1, 2), (2, 60), (3, 2))], "transaction_date date, n long"), None)
+    placed = sorted(map(tuple, days.collect()))
+    assert slots == 6 and [d[1:] for d in placed] == [(0, 1), (0, 6), (5, 1)]
+    whole = clean.clean_sales(frames.raw(spark, *sum(batches, [])))
+    assert sorted(map(str, ledger.clean().collect())) == sorted(map(str, whole.collect()))
+    assert rollup_rows(ledger.rollup()) == rollup_rows(aggregates.daily_rollup(features.engineer(whole)))
+    kinds = spark.read.parquet(f"{folder}/records/batch=1").groupBy("kind").agg({"copies": "sum"})
+    # Of the first month 12 records are known and of the heavy day 25.
+    assert dict(map(tuple, kinds.collect())) == {"complete": 12 + 3, "known": 12 + 25}
+
+
+def test_records_that_filling_makes_equal_are_one_while_it_does(spark, folder):
+    record = {"transaction_id": "A", "transaction_date": "2023-01-09", "price_per_unit": "9.00"}
+    batches = [[{**record, "payment_method": None}, *full(1, 5)], [{**record, "payment_method": "Cash"}],
+               [{**r, "payment_method": "Credit Card"} for r in full(4, 12)]]
+    ledger, counts = Ledger(spark, folder), []
+    for k in range(3):
+        ledger.apply(cleaning.standardised_records(frames.raw(spark, *batches[k])), k)
+        whole = clean.clean_sales(frames.raw(spark, *sum(batches[:k + 1], [])))
+        assert sorted(map(str, ledger.clean().collect())) == sorted(map(str, whole.collect()))
+        assert rollup_rows(ledger.rollup()) == rollup_rows(aggregates.daily_rollup(features.engineer(whole)))
+        counts.append(ledger.clean().where("transaction_id = 'A'").count())
+    assert counts == [1, 1, 2]
