@@ -325,8 +325,9 @@ class Ledger:
         stored = self._stored(schema)
         filled = self._filled(self._read("gaps", stored, done), self._statistics(done[-1]), schema)
         rows = self._read("complete", stored, done).select(*schema.names).unionByName(filled)
-        # Complete records are distinct already; a filled one may equal another.
-        return imputation.with_total(rows.dropDuplicates())
+        # Distinct records become equal by their filling only if they share their kin.
+        rows, shared = self._apart(rows, schema, done)
+        return imputation.with_total(rows if shared is None else rows.unionByName(shared.dropDuplicates()))
 
     def rollup(self, months: list[int] | None = None) -> DataFrame:
         """The daily rollup, from the changes alone; ``months`` (as 202301) limits what is read."""

@@ -189,3 +189,14 @@ def test_records_that_filling_makes_equal_are_one_while_it_does(spark, folder):
         assert rollup_rows(ledger.rollup()) == rollup_rows(aggregates.daily_rollup(features.engineer(whole)))
         counts.append(ledger.clean().where("transaction_id = 'A'").count())
     assert counts == [1, 1, 2]
+
+
+def test_the_clean_table_moves_only_records_that_may_be_equal(spark, folder):
+    ledger = Ledger(spark, f"{folder}/apart")
+    gaps = [{"transaction_id": f"G{k}", "payment_method": None, "transaction_date": "2023-01-09"} for k in range(5)]
+    ledger.apply(cleaning.standardised_records(frames.raw(spark, *full(1, 9), *gaps)), 0)
+    assert "Exchange hashpartitioning" not in plan(ledger.clean()) and ledger.clean().count() == 14
+    ledger = Ledger(spark, f"{folder}/shared")
+    twin = {"transaction_id": "G3", "payment_method": "Cash", "transaction_date": "2023-01-09"}
+    ledger.apply(cleaning.standardised_records(frames.raw(spark, *full(1, 9), *gaps, twin)), 0)
+    assert spark.read.parquet(f"{folder}/shared/shared/batch=0").count() == 1 and ledger.clean().count() == 14
