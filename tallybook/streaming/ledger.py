@@ -214,7 +214,7 @@ class Ledger:
         return rows.withColumn("kind", kind)
 
     def apply(self, standardised: DataFrame, batch: int) -> None:
-        """Takes in a batch of standardised records."""
+        """Takes in a batch of standardised records, which are read twice: for their dates and for the rows."""
         done = [b for b in self.batches() if b < batch]
         last = done[-1] if done else None
         schema = self._schema(last) if done else standardised.drop("total_spent").schema
